@@ -2,9 +2,11 @@
 
 from wordtide.operators.batches import (
     batch_of,
+    beat_per_row,
     every_batch,
     heartbeats,
     interval_number,
+    interval_start,
     profile_with_heartbeats,
     with_heartbeats,
 )
@@ -21,6 +23,7 @@ from wordtide.operators.dashboard import (
     detail_list,
     flow_rows,
     latest_batch,
+    latest_interval,
     operational_metrics,
     progress_view,
     recent_words,
@@ -46,6 +49,7 @@ from wordtide.operators.words import (
 
 __all__ = [
     "batch_of",
+    "beat_per_row",
     "branch_counts",
     "channel_envelopes",
     "channel_totals",
@@ -57,7 +61,9 @@ __all__ = [
     "flow_transitions",
     "heartbeats",
     "interval_number",
+    "interval_start",
     "latest_batch",
+    "latest_interval",
     "length_profile",
     "long_negative_words",
     "long_positive_words",

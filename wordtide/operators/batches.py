@@ -7,19 +7,39 @@ from pyspark.sql import functions as F
 
 from wordtide.functions import floor_quotient, whole_quotient
 
-MICROS = 1_000_000
 BATCHES_PER_BLOCK = 65_536
 
 
 def interval_number(time: Column, seconds: int, origin: str = "1970-01-01 00:00:00") -> Column:
     """Number of the ``seconds``-long interval, counted from ``origin``, that holds ``time``.
 
-    ``time`` is a TIMESTAMP_NTZ. Its difference from the origin is an interval and no session time
-    zone comes in, which it would by way of a cast to TIMESTAMP or of ``timestamp_diff``.
+    ``time`` is a TIMESTAMP_NTZ.
     """
-    elapsed = (time - F.lit(origin).cast("timestamp_ntz")).cast("interval second")
-    micros = (elapsed.cast("decimal(24, 6)") * MICROS).cast("bigint")
-    return floor_quotient(micros, F.lit(seconds * MICROS))
+    elapsed = _whole_seconds(time) - _whole_seconds(F.lit(origin).cast("timestamp_ntz"))
+    return floor_quotient(elapsed, F.lit(seconds))
+
+
+def interval_start(
+    number: Column, seconds: int, origin: str = "1970-01-01 00:00:00"
+) -> Column:
+    """First moment of an interval, as a TIMESTAMP_NTZ."""
+    offset = F.make_dt_interval(secs=number * F.lit(seconds))
+    return F.lit(origin).cast("timestamp_ntz") + offset
+
+
+def _whole_seconds(time: Column) -> Column:
+    """Seconds since year 1, rounded down.
+
+    Year 1 because casts round towards zero. A difference of two times without zone is an interval;
+    a cast to TIMESTAMP or ``timestamp_diff`` would bring in the session time zone.
+    """
+    year_one = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    return (time - year_one).cast("interval second").cast("bigint")
+
+
+def beat_per_row(rows: DataFrame, batch: str = "batch") -> DataFrame:
+    """A heartbeat per row: makes the rows' own batches show up, even if no word is in them."""
+    return rows.select(batch, F.lit(None).cast("string").alias("word"))
 
 
 def every_batch(rows: DataFrame, batch: str = "batch") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wordtide.fixed import BATCH_SECONDS, DETAIL_ROWS, RECENT_ROWS
 from wordtide.functions import floor_at_one, has_words, hundredths
+from wordtide.operators.batches import interval_number, interval_start
 from wordtide.operators.metrics import (
     detail_counts,
     flow_transitions,
@@ -30,6 +31,15 @@ def latest_batch(rows: DataFrame, number: str, per_batch: int = 1) -> DataFrame:
     return rows.where(F.col(number) >= start.scalar())
 
 
+def latest_interval(
+    rows: DataFrame, time: str, seconds: int, origin: str = "1970-01-01 00:00:00"
+) -> DataFrame:
+    """The same for batches that are ``seconds`` of a TIMESTAMP_NTZ column."""
+    newest = interval_number(F.max(time), seconds, origin)
+    start = rows.agg(interval_start(newest, seconds, origin).alias("start"))
+    return rows.where(F.col(time) >= start.scalar())
+
+
 def summary_cards(rows: DataFrame, batch: str = "batch") -> DataFrame:
     """The three cards of one batch; the average as an integer count of hundredths."""
     totals = measure(rows).groupBy(F.col(batch).alias("last_batch")).agg(*summary_totals())
@@ -57,24 +67,26 @@ def detail_list(rows: DataFrame, limit: int = DETAIL_ROWS) -> DataFrame:
 
 
 def recent_words(
-    texts: DataFrame, order: Sequence[str], text: str = "text", limit: int = RECENT_ROWS
+    texts: DataFrame, number: str, text: str = "text", limit: int = RECENT_ROWS
 ) -> DataFrame:
     """The newest ``limit`` words as (rank, word), newest first.
 
-    ``order`` is the unique arrival order of the texts. Any text that passes ``has_words`` gives at
-    least one word, so the newest words are among those of the newest ``limit`` such texts: a top-k
-    over the texts comes first and only its rows are cut into words.
+    ``number`` is the unique arrival number of the texts. Any text that passes ``has_words`` gives
+    at least one word, so the newest words are among those of the newest ``limit`` such texts. A
+    top-k over the bare numbers finds where those texts start; the filter on ``number`` then lets
+    the file scan skip older row groups, and only what is left is cut into words.
     """
-    newest_first = [F.col(c).desc() for c in order]
-    newest_texts = texts.where(has_words(F.col(text))).orderBy(*newest_first).limit(limit)
+    newest_texts = texts.where(has_words(F.col(text))).select(number)
+    newest_texts = newest_texts.orderBy(F.col(number).desc()).limit(limit)
+    start = newest_texts.agg(F.min(number).alias("start"))
     newest = (
-        tokenize(newest_texts.select(*order, text), text)
-        .orderBy(*newest_first, F.col("pos").desc())
+        tokenize(texts.where(F.col(number) >= start.scalar()).select(number, text), text)
+        .orderBy(F.col(number).desc(), F.col("pos").desc())
         .limit(limit)
     )
     # at most `limit` rows, so one array
     ranked = newest.agg(
-        F.sort_array(F.collect_list(F.struct(*order, "pos", "word")), asc=False).alias("newest")
+        F.sort_array(F.collect_list(F.struct(number, "pos", "word")), asc=False).alias("newest")
     )
     return ranked.select(F.posexplode("newest").alias("at", "entry")).select(
         (F.col("at") + 1).alias("rank"), F.col("entry.word").alias("word")

@@ -33,6 +33,12 @@ def round_robin_drain(
     group = [*within, key]
     shifts = range(slice_bits, 64, slice_bits)
     sliced = messages.withColumn("_slice", F.shiftright(seq, slice_bits))
+    # The joins below infer these tests, each for its own level. Made here for all levels, they
+    # leave the finest sizes the same subplan wherever it occurs, and it is computed once.
+    level = F.col("_slice")
+    for _ in shifts:
+        sliced = sliced.where(level.isNotNull())
+        level = F.shiftright(level, slice_bits)
 
     # sizes[i]: number of messages per slice of level i, from fine to coarse
     sizes = [sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_size"))]

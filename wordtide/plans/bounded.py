@@ -203,8 +203,9 @@ def parse_details(spark: SparkSession, folder: str) -> DataFrame:
 
 def _latest_words(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    latest = op.latest_batch(docs, "doc_id", b.DOCS_PER_BATCH)
-    return op.tokenize(latest.select(b.doc_batch(), "text"))
+    latest = op.latest_batch(docs, "doc_id", b.DOCS_PER_BATCH).select(b.doc_batch(), "text")
+    words = op.tokenize(latest).select("batch", "word")
+    return words.unionByName(op.beat_per_row(latest))
 
 
 @query
@@ -214,8 +215,9 @@ def dashboard_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dashboard_flow(spark: SparkSession, folder: str) -> DataFrame:
-    events = b.event_words(table(spark, folder, "events"))
-    return op.flow_rows(op.latest_batch(events, "batch"))
+    events = table(spark, folder, "events")
+    latest = op.latest_interval(events, "ts", b.EVENT_BATCH_SECONDS, b.ORIGIN)
+    return op.flow_rows(b.event_words(latest))
 
 
 @query
@@ -225,7 +227,7 @@ def dashboard_detail_top10(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dashboard_recent15(spark: SparkSession, folder: str) -> DataFrame:
-    return op.recent_words(table(spark, folder, "documents"), ["doc_id"])
+    return op.recent_words(table(spark, folder, "documents"), "doc_id")
 
 
 @query

@@ -169,10 +169,10 @@ ORACLE: dict[str, str] = {
     "parse_summaries": _SUMMARY_BY_BATCH,
     "parse_details": _DETAIL_BY_BATCH,
     "dashboard_summary": f"""WITH {WORDS}, {_LATEST}, t AS (
-            SELECT count(*) AS n, CAST(sum(length(word)) AS BIGINT) AS chars, batch
-            FROM words JOIN latest USING (batch) GROUP BY batch)
-        SELECT n AS total_words, chars AS total_chars,
-            (200 * chars + n) // (2 * n) AS avg_hundredths, batch AS last_batch FROM t""",
+            SELECT count(word) AS n, CAST(coalesce(sum(length(word)), 0) AS BIGINT) AS chars, batch
+            FROM latest LEFT JOIN words USING (batch) GROUP BY batch)
+        SELECT n AS total_words, chars AS total_chars, batch AS last_batch,
+            CASE WHEN n = 0 THEN 0 ELSE (200 * chars + n) // (2 * n) END AS avg_hundredths FROM t""",
     "dashboard_flow": f"""WITH {EVENT_WORDS}, {EDGES}, b AS (
             SELECT {_COUNTS} FROM event_words
             WHERE batch = (SELECT max(batch) FROM event_words))
