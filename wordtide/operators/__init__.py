@@ -24,8 +24,13 @@ from wordtide.operators.dashboard import (
     flow_rows,
     latest_batch,
     latest_interval,
+    latest_messages,
     operational_metrics,
     progress_view,
+    published_details,
+    published_flow,
+    published_recent,
+    published_summary,
     recent_words,
     summary_cards,
 )
@@ -64,6 +69,7 @@ __all__ = [
     "interval_start",
     "latest_batch",
     "latest_interval",
+    "latest_messages",
     "length_profile",
     "long_negative_words",
     "long_positive_words",
@@ -75,6 +81,10 @@ __all__ = [
     "parse_transitions",
     "profile_with_heartbeats",
     "progress_view",
+    "published_details",
+    "published_flow",
+    "published_recent",
+    "published_summary",
     "raw_messages",
     "recent_words",
     "round_robin_drain",

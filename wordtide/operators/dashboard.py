@@ -8,9 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wordtide.fixed import BATCH_SECONDS, DETAIL_ROWS, RECENT_ROWS
+from wordtide.fixed import (
+    BATCH_SECONDS,
+    DETAIL_METRICS,
+    DETAIL_ROWS,
+    RAW_MESSAGES,
+    RECENT_ROWS,
+    STREAM_TRANSITIONS,
+    SUMMARY_METRICS,
+)
 from wordtide.functions import floor_at_one, has_words, hundredths
 from wordtide.operators.batches import interval_number, interval_start
+from wordtide.operators.channels import (
+    parse_details,
+    parse_summaries,
+    parse_transitions,
+    subscribe,
+)
 from wordtide.operators.metrics import (
     detail_counts,
     flow_transitions,
@@ -53,7 +67,11 @@ def summary_cards(rows: DataFrame, batch: str = "batch") -> DataFrame:
 
 def flow_rows(rows: DataFrame) -> DataFrame:
     """Flow diagram of one batch as (From, To, Weight)."""
-    return flow_transitions(rows).select(
+    return _flow_view(flow_transitions(rows))
+
+
+def _flow_view(edges: DataFrame) -> DataFrame:
+    return edges.select(
         F.col("from_node").alias("From"),
         F.col("to_node").alias("To"),
         floor_at_one(F.col("cnt")).alias("Weight"),
@@ -62,8 +80,12 @@ def flow_rows(rows: DataFrame) -> DataFrame:
 
 def detail_list(rows: DataFrame, limit: int = DETAIL_ROWS) -> DataFrame:
     """The shortest lengths of one batch's histogram."""
-    counts = detail_counts(rows).select(F.col("word_length").alias("wordLength"), "cnt")
-    return counts.orderBy("wordLength").limit(limit)
+    return _detail_view(detail_counts(rows), limit)
+
+
+def _detail_view(counts: DataFrame, limit: int) -> DataFrame:
+    view = counts.select(F.col("word_length").alias("wordLength"), "cnt")
+    return view.orderBy("wordLength").limit(limit)
 
 
 def recent_words(
@@ -84,12 +106,16 @@ def recent_words(
         .orderBy(F.col(number).desc(), F.col("pos").desc())
         .limit(limit)
     )
-    # at most `limit` rows, so one array
-    ranked = newest.agg(
-        F.sort_array(F.collect_list(F.struct(number, "pos", "word")), asc=False).alias("newest")
-    )
-    return ranked.select(F.posexplode("newest").alias("at", "entry")).select(
-        (F.col("at") + 1).alias("rank"), F.col("entry.word").alias("word")
+    return _ranked(newest, number, "pos", "word")
+
+
+def _ranked(newest: DataFrame, *columns: str) -> DataFrame:
+    """(rank, word) of the few rows that a top-k left over: as many as fit one array."""
+    entries = F.sort_array(F.collect_list(F.struct(*columns)), asc=False)
+    return (
+        newest.agg(entries.alias("newest"))
+        .select(F.posexplode("newest").alias("at", "entry"))
+        .select((F.col("at") + 1).alias("rank"), F.col("entry.word").alias("word"))
     )
 
 
@@ -106,6 +132,56 @@ def operational_metrics(
     )
 
 
+def latest_messages(messages: DataFrame, channel: str, batch: str = "batch_id") -> DataFrame:
+    """Messages of a channel in its newest batch. On a channel table only its folder is read."""
+    of_channel = subscribe(messages, [channel])
+    newest = of_channel.agg(F.max(batch).alias("newest"))
+    return of_channel.where(F.col(batch) == newest.scalar())
+
+
+def published_summary(messages: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """``summary_cards`` of the newest summary message, with the time it carries."""
+    latest = parse_summaries(latest_messages(messages, SUMMARY_METRICS, batch), [batch])
+    return latest.select(
+        "total_words",
+        "total_chars",
+        hundredths(F.col("total_chars"), F.col("total_words")).alias("avg_hundredths"),
+        F.col(batch).alias("last_batch"),
+        "batch_time",
+    )
+
+
+def published_flow(messages: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """``flow_rows`` of the newest transitions message."""
+    return _flow_view(parse_transitions(latest_messages(messages, STREAM_TRANSITIONS, batch)))
+
+
+def published_details(
+    messages: DataFrame, batch: str = "batch_id", limit: int = DETAIL_ROWS
+) -> DataFrame:
+    """``detail_list`` of the newest details message."""
+    return _detail_view(parse_details(latest_messages(messages, DETAIL_METRICS, batch)), limit)
+
+
+def published_recent(
+    messages: DataFrame, batch: str = "batch_id", limit: int = RECENT_ROWS
+) -> DataFrame:
+    """The newest raw messages as (rank, word), newest first, by batch and ``seq``.
+
+    Batches first: the newest ``limit`` messages lie in the batches of any ``limit`` newest ones, so
+    older folders of a channel table are not read.
+    """
+    raw = subscribe(messages, [RAW_MESSAGES])
+    start = raw.select(batch).orderBy(F.col(batch).desc()).limit(limit).agg(F.min(batch))
+    newest = (
+        raw.where(F.col(batch) >= start.scalar())
+        .select(F.col(batch).alias("at_batch"), "seq", F.col("message").alias("word"))
+        .orderBy(F.col("at_batch").desc(), F.col("seq").desc())
+        .limit(limit)
+    )
+    return _ranked(newest, "at_batch", "seq", "word")
+
+
 def progress_view(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """A running query's recent micro-batches, out of its own progress reports."""
     rows = [

@@ -152,7 +152,7 @@ def zero_filled_envelopes(spark: SparkSession, folder: str) -> DataFrame:
 # --- channels ------------------------------------------------------------------------------
 
 
-def _envelopes(spark: SparkSession, folder: str) -> DataFrame:
+def document_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     return op.channel_envelopes(b.batched_words(spark, folder), ["batch"], b.doc_batch_time())
 
 
@@ -163,7 +163,7 @@ def _integer_channels(envelopes: DataFrame) -> DataFrame:
 
 @query
 def channel_envelopes(spark: SparkSession, folder: str) -> DataFrame:
-    return _integer_channels(_envelopes(spark, folder))
+    return _integer_channels(document_envelopes(spark, folder))
 
 
 @query
@@ -174,7 +174,7 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def channel_fanout(spark: SparkSession, folder: str) -> DataFrame:
-    published = _envelopes(spark, folder).select("channel").unionAll(
+    published = document_envelopes(spark, folder).select("channel").unionAll(
         op.raw_messages(b.batched_words(spark, folder)).select("channel")
     )
     return op.channel_totals(op.subscribe(published))
@@ -182,12 +182,12 @@ def channel_fanout(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parse_transitions(spark: SparkSession, folder: str) -> DataFrame:
-    return op.parse_transitions(_envelopes(spark, folder), ["batch"])
+    return op.parse_transitions(document_envelopes(spark, folder), ["batch"])
 
 
 @query
 def parse_summaries(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = op.parse_summaries(_envelopes(spark, folder), ["batch"])
+    parsed = op.parse_summaries(document_envelopes(spark, folder), ["batch"])
     return parsed.withColumn(
         "batch_end_s", F.unix_seconds("batch_time") - F.lit(b.ORIGIN_EPOCH)
     ).drop("batch_time")
@@ -195,7 +195,7 @@ def parse_summaries(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parse_details(spark: SparkSession, folder: str) -> DataFrame:
-    return op.parse_details(_envelopes(spark, folder), ["batch"])
+    return op.parse_details(document_envelopes(spark, folder), ["batch"])
 
 
 # --- dashboard -----------------------------------------------------------------------------

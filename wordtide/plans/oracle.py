@@ -124,6 +124,20 @@ _MESSAGES = f"""messages AS (
 
 _KEYS = ", ".join(f"'{k}'" for k in MESSAGE_KEYS)
 
+_LATEST_SUMMARY = f"""WITH {WORDS}, {_LATEST}, t AS (
+        SELECT count(word) AS n, CAST(coalesce(sum(length(word)), 0) AS BIGINT) AS chars, batch
+        FROM latest LEFT JOIN words USING (batch) GROUP BY batch)
+    SELECT n AS total_words, chars AS total_chars, batch AS last_batch,
+        CASE WHEN n = 0 THEN 0 ELSE (200 * chars + n) // (2 * n) END AS avg_hundredths FROM t"""
+
+_LATEST_DETAILS = f"""WITH {WORDS}, {_LATEST}
+    SELECT CAST(length(word) AS INTEGER) AS "wordLength", count(*) AS cnt
+    FROM words JOIN latest USING (batch) GROUP BY ALL ORDER BY "wordLength" LIMIT 10"""
+
+_RECENT = f"""WITH {WORDS}
+    SELECT CAST(row_number() OVER (ORDER BY doc_id DESC, pos DESC) AS INTEGER) AS rank, word
+    FROM words ORDER BY rank LIMIT 15"""
+
 
 def _filter(condition: str) -> str:
     return f"WITH {WORDS} SELECT doc_id, pos, word FROM words WHERE {condition}"
@@ -168,22 +182,20 @@ ORACLE: dict[str, str] = {
     "parse_transitions": _FLOW_BY_BATCH,
     "parse_summaries": _SUMMARY_BY_BATCH,
     "parse_details": _DETAIL_BY_BATCH,
-    "dashboard_summary": f"""WITH {WORDS}, {_LATEST}, t AS (
-            SELECT count(word) AS n, CAST(coalesce(sum(length(word)), 0) AS BIGINT) AS chars, batch
-            FROM latest LEFT JOIN words USING (batch) GROUP BY batch)
-        SELECT n AS total_words, chars AS total_chars, batch AS last_batch,
-            CASE WHEN n = 0 THEN 0 ELSE (200 * chars + n) // (2 * n) END AS avg_hundredths FROM t""",
+    "dashboard_summary": _LATEST_SUMMARY,
     "dashboard_flow": f"""WITH {EVENT_WORDS}, {EDGES}, b AS (
             SELECT {_COUNTS} FROM event_words
             WHERE batch = (SELECT max(batch) FROM event_words))
         SELECT from_node AS "From", to_node AS "To", greatest({_EDGE_COUNT}, 1) AS "Weight"
         FROM b, edges""",
-    "dashboard_detail_top10": f"""WITH {WORDS}, {_LATEST}
-        SELECT CAST(length(word) AS INTEGER) AS "wordLength", count(*) AS cnt
-        FROM words JOIN latest USING (batch) GROUP BY ALL ORDER BY "wordLength" LIMIT 10""",
-    "dashboard_recent15": f"""WITH {WORDS}
-        SELECT CAST(row_number() OVER (ORDER BY doc_id DESC, pos DESC) AS INTEGER) AS rank, word
-        FROM words ORDER BY rank LIMIT 15""",
+    "dashboard_detail_top10": _LATEST_DETAILS,
+    "dashboard_recent15": _RECENT,
+    "published_summary": _LATEST_SUMMARY,
+    "published_flow": f"""WITH {WORDS}, {EDGES}, b AS (
+            SELECT {_COUNTS} FROM words WHERE batch = (SELECT max(batch) FROM words))
+        SELECT from_node AS "From", to_node AS "To", greatest({_EDGE_COUNT}, 1) AS "Weight"
+        FROM b, edges""",
+    "published_detail_top10": _LATEST_DETAILS,
     "operational_metrics": f"""WITH {WORDS}
         SELECT batch, count(*) AS n_messages,
             count(*)::DOUBLE / {float(DOCS_PER_BATCH)}::DOUBLE AS msgs_per_s,

@@ -1,6 +1,7 @@
-"""Queries that run a stream over everything there is now and return what it left behind.
+"""Queries over tables that were written first: by a stream, or as published messages.
 
-Each equals its bounded twin, whatever way the table's files fall into micro-batches.
+A stream runs over everything there is now. What it leaves behind equals the bounded twin, whatever
+way the table's files fall into micro-batches.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from wordtide import operators as op
 from wordtide import streaming as st
 from wordtide.plans import bindings as b
-from wordtide.plans.bounded import Query
+from wordtide.plans.bounded import Query, document_envelopes
 from wordtide.sources import stream_table
 
 STREAMS: dict[str, Query] = {}
@@ -104,3 +105,26 @@ def stream_raw_messages_available_now(spark: SparkSession, folder: str) -> DataF
     st.finish(st.publish_raw(words, f"{run}/raw", f"{run}/checkpoint", "batch", "seq"))
     schema = "channel string, batch bigint, seq bigint, message string"
     return spark.read.schema(schema).parquet(f"{run}/raw")
+
+
+def _published(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The messages of all document batches, published to a table and read from it."""
+    path = f"{st.run_folder(spark, name)}/channels"
+    document_envelopes(spark, folder).write.partitionBy("channel").parquet(path)
+    return spark.read.schema("batch bigint, message string, channel string").parquet(path)
+
+
+@query
+def published_summary(spark: SparkSession, folder: str) -> DataFrame:
+    published = _published(spark, folder, "published-summary")
+    return op.published_summary(published, "batch").drop("batch_time")
+
+
+@query
+def published_flow(spark: SparkSession, folder: str) -> DataFrame:
+    return op.published_flow(_published(spark, folder, "published-flow"), "batch")
+
+
+@query
+def published_detail_top10(spark: SparkSession, folder: str) -> DataFrame:
+    return op.published_details(_published(spark, folder, "published-details"), "batch")

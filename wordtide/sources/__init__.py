@@ -1,6 +1,6 @@
 """Sources: keyed messages, text corpora, ticks."""
 
-from wordtide.sources.corpus import read_corpus
+from wordtide.sources.corpus import corpus_messages, read_corpus
 from wordtide.sources.messages import (
     ingest,
     ingest_list,
@@ -14,6 +14,7 @@ from wordtide.sources.tables import spread_small_scan, stream_table, table
 from wordtide.sources.ticks import heartbeat_stream, ticks
 
 __all__ = [
+    "corpus_messages",
     "heartbeat_stream",
     "ingest",
     "ingest_list",

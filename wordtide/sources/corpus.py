@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wordtide.operators.words import tokenize
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
@@ -12,3 +15,15 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     table of documents.
     """
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
+
+
+def corpus_messages(spark: SparkSession, path: str, key: str = "words") -> DataFrame:
+    """The words of one corpus file as messages (key, value, seq), in the order of the text.
+
+    Appended to the folder of a message stream, they feed it.
+    """
+    return tokenize(read_corpus(spark, path)).select(
+        F.lit(key).alias("key"),
+        F.col("word").alias("value"),
+        F.col("pos").cast("bigint").alias("seq"),
+    )

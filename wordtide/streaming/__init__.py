@@ -2,6 +2,8 @@
 
 from wordtide.streaming.folders import run_folder, shared_folder
 from wordtide.streaming.runs import (
+    BatchFunction,
+    echo,
     finish,
     keep_profiles,
     keep_sets,
@@ -16,8 +18,10 @@ from wordtide.streaming.tables import (
 )
 
 __all__ = [
+    "BatchFunction",
     "ChannelTable",
     "EpochTable",
+    "echo",
     "finish",
     "keep_profiles",
     "keep_sets",

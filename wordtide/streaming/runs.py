@@ -68,6 +68,11 @@ def publish_raw(
     return _triggered(writer, checkpoint, follow).start()
 
 
+def echo(stream: DataFrame, checkpoint: str, follow: bool = False) -> StreamingQuery:
+    """Print each micro-batch's first rows to the console."""
+    return _triggered(stream.writeStream.format("console"), checkpoint, follow).start()
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a stream over what is there now; its error, if any, is raised here."""
     query.awaitTermination()
