@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wordtide import functions as fn
-from wordtide.operators import classify, tokenize
+from wordtide.operators import classify, distinct_words, tokenize
 
 SPACE = " \t\n\x0b\f\r"
 
@@ -77,6 +77,13 @@ def test_tokenizer_equals_definition(spark, texts):
     assert tokens(spark, texts) == [cut(t) for t in texts]
 
 
+def test_distinct_words_of_a_text(spark):
+    texts = [" b a b  a ", "", "\t", "x", "a\n", None, " ", "B b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = sorted((r["id"], r["word"]) for r in distinct_words(df).collect())
+    assert got == sorted((i, w) for i, t in enumerate(texts) if t is not None for w in set(cut(t)))
+
+
 def test_word_classes(spark, words):
     cases = {
         "": (False, False),

@@ -45,6 +45,7 @@ from wordtide.operators.metrics import (
 )
 from wordtide.operators.words import (
     classify,
+    distinct_words,
     long_negative_words,
     long_positive_words,
     long_words,
@@ -61,6 +62,7 @@ __all__ = [
     "classify",
     "detail_counts",
     "detail_list",
+    "distinct_words",
     "every_batch",
     "flow_rows",
     "flow_transitions",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordtide.functions import (
@@ -22,10 +22,22 @@ def tokenize(texts: DataFrame, text: str = "text") -> DataFrame:
     the explode is deliberate. For the inner form Catalyst infers a size filter over the generator's
     input; no text gets to the explode with an empty array, so the filter could only cost.
     """
+    return _explode(texts, text, word_array(F.col(text)))
+
+
+def distinct_words(texts: DataFrame, text: str = "text") -> DataFrame:
+    """Each word of a text once, as ``word``; still one row per text and word, without a shuffle.
+
+    Ahead of a distinct over many texts, this leaves its hash tables about half of the rows.
+    """
+    return _explode(texts, text, F.array_distinct(word_array(F.col(text)))).drop("pos")
+
+
+def _explode(texts: DataFrame, text: str, words: Column) -> DataFrame:
     keep = [c for c in texts.columns if c != text]
     return (
         texts.where(has_words(F.col(text)))
-        .select(*keep, F.posexplode_outer(word_array(F.col(text))).alias("pos", "word"))
+        .select(*keep, F.posexplode_outer(words).alias("pos", "word"))
         # gaps are cut as runs, so an empty word after the first one is the trailing gap
         .where((F.col("pos") == 0) | (F.col("word") != ""))
     )

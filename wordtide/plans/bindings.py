@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordtide.fixed import BATCH_SECONDS
-from wordtide.operators import batch_of, interval_number, tokenize
+from wordtide.operators import batch_of, distinct_words, interval_number, tokenize
 from wordtide.sources import keyed_messages, spread_small_scan, stream_table, table
 from wordtide.sources.tables import is_small_scan
 
@@ -39,13 +39,13 @@ def batched_words(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batched_values(spark: SparkSession, folder: str) -> DataFrame:
-    """Words as messages (batch, key, value) of the document's language."""
+    """Words as pending messages (batch, key, value) of the document's language, for set ingest."""
     docs = spread_small_scan(table(spark, folder, "documents"), "doc_id")
     return value_messages(docs)
 
 
 def value_messages(docs: DataFrame) -> DataFrame:
-    cut = tokenize(docs.select(doc_batch(), F.col("lang").alias("key"), "text"))
+    cut = distinct_words(docs.select(doc_batch(), F.col("lang").alias("key"), "text"))
     return keyed_messages(cut.select("batch", "key", F.col("word").alias("value")))
 
 
