@@ -5,7 +5,9 @@ from wordtide import operators as op
 from wordtide import streaming as st
 
 TEXT = "\nThe oval zebra isn't the oval, the ZEBRA: it is an aardvark.\n"
-WORDS = ["", "the", "oval", "zebra", "isnt", "the", "oval", "the", "zebra", "it", "is", "an", "aardvark"]
+WORDS = ["", "the", "oval", "zebra", "isnt", "the", "oval", "the", "zebra"] + [
+    "it", "is", "an", "aardvark",
+]
 
 
 def run(spark, tmp_path, struct):
@@ -69,4 +71,5 @@ def test_commands(spark, tmp_path, capsys):
     app.main(["show", "--channels", channels])
     shown = capsys.readouterr().out
     assert "Summary Metrics" in shown and "aardvark" in shown
-    st.finish(st.echo(spark.readStream.schema("key string, value string, seq bigint").parquet(messages), str(tmp_path / "ck2")))
+    stream = spark.readStream.schema("key string, value string, seq bigint").parquet(messages)
+    st.finish(st.echo(stream, str(tmp_path / "ck2")))

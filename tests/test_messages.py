@@ -67,7 +67,12 @@ def test_round_robin_equals_definition(spark, rows, bits):
         # a third of all rows in one group, sequence numbers dense, sparse, huge and negative
         batch, key = (0, "hot") if i % 3 == 0 else (pick.randrange(3), pick.choice("abc"))
         seq = pick.choice(
-            [i, pick.randrange(1 << 20), pick.randrange(1 << 40), pick.randrange(-(1 << 62), 1 << 62)]
+            [
+                i,
+                pick.randrange(1 << 20),
+                pick.randrange(1 << 40),
+                pick.randrange(-(1 << 62), 1 << 62),
+            ]
         )
         data.add((batch, key, seq))
     df = spark.createDataFrame(sorted(data), "batch bigint, key string, seq bigint")

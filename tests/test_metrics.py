@@ -68,7 +68,8 @@ def many(spark, n=4000, seed=5):
 def test_flow_invariants(spark):
     flow = op.flow_transitions(many(spark), ["batch"])
     wide = flow.groupBy("batch").pivot("edge_no", list(range(1, 8))).agg(F.first("cnt")).collect()
-    totals = {r["batch"]: r["n"] for r in many(spark).groupBy("batch").agg(F.count("*").alias("n")).collect()}
+    counted = many(spark).groupBy("batch").agg(F.count("*").alias("n"))
+    totals = {r["batch"]: r["n"] for r in counted.collect()}
     assert len(wide) == 20
     for r in wide:
         e = {i: r[str(i)] for i in range(1, 8)}

@@ -83,7 +83,8 @@ def scanned_rows(df, column):
             return visit(node.executedPlan())
         if "QueryStage" in node.nodeName():
             return visit(node.plan())
-        if node.nodeName().startswith("Scan parquet") and column in node.simpleString(50).split("]")[0]:
+        output = node.simpleString(50).split("]")[0]
+        if node.nodeName().startswith("Scan parquet") and column in output:
             found.append(node.metrics().apply("numOutputRows").value())
         children = node.children()
         for i in range(children.size()):

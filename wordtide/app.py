@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wordtide import fixed
 from wordtide import operators as op
 from wordtide import sources as src
 from wordtide import streaming as st
@@ -63,10 +64,10 @@ def dashboard(spark: SparkSession, channels: str) -> dict[str, DataFrame]:
     """The dashboard's views of a channel table, by title."""
     published = st.ChannelTable(channels).read(spark)
     return {
-        "Summary Metrics": op.published_summary(published),
-        "Data Flow Visualization": op.published_flow(published),
-        "Detail Counts": op.published_details(published),
-        "Raw Data Stream": op.published_recent(published),
+        fixed.SUMMARY_TITLE: op.published_summary(published),
+        fixed.FLOW_TITLE: op.published_flow(published),
+        fixed.DETAIL_TITLE: op.published_details(published),
+        fixed.RAW_TITLE: op.published_recent(published),
     }
 
 
