@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,15 +12,15 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder the session names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without: it gets a new temporary folder. On a cluster executors
-    would each see their own, so the setting is required there.
+    Only a local session may go without: it uses its own warehouse folder. On a cluster that folder
+    may be another one on every machine, so the setting is required there.
     """
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="wordtide-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
