@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordtide.llm.store import written
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -63,13 +65,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     count as no document, and lose every line of a key that is over the threshold. Rows that share a
     doc_id are one document. Repeated rows are treated alike and stay repeated.
 
-    Three passes over the texts: keys are counted as digests; the places of dropped lines are found
-    by a join of digests; the texts meet their own dropped places last, and nothing but the texts
-    that are returned is shuffled whole, once.
+    Two passes over the texts. The first writes the digests of all keys to the shared folder; keys
+    are counted, and the places of dropped lines found, from those alone. In the second the texts
+    meet their own dropped places, and are shuffled whole, once.
     """
     given = docs.columns
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    lines = _numbered_lines(docs.select("doc_id", "text"), min_chars)
+    lines = written(_numbered_lines(docs.select("doc_id", "text"), min_chars), "lines")
     repeated = repeated_keys(lines, min_docs)
     places = (
         lines.join(repeated, ["k1", "k2"])
