@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm import lines, urls
+from wordtide.llm import counts, lines, near, urls
 from wordtide.llm.store import table
 
 URL_RULES = [
@@ -16,6 +16,18 @@ URL_RULES = [
 ]
 
 
+def token_file(name: str) -> str:
+    """Where the public vocabulary file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return counts.token_counts(docs, token_file("byte_bpe_50k.json"))
+
+
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select(
@@ -23,12 +35,18 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), percent=85)
+
+
 def url_filters(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.url_filter(table(spark, folder, "pages").select("page_id", "url"), rules)
 
 
 QUERIES = {
+    "op2_token_counts": token_counts,
     "op7_line_dedup": line_dedup,
+    "op8_minhash_near_dedup": near_dedup,
     "op10_url_filters": url_filters,
 }
