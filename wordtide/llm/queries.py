@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm import counts, lines, near, urls
+from wordtide.llm import counts, lang, lines, near, urls
 from wordtide.llm.store import table
 
 URL_RULES = [
@@ -28,6 +28,18 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.token_counts(docs, token_file("byte_bpe_50k.json"))
 
 
+def held_out(modulus: int):
+    """Whether a document is held out of learning; one without an id is not."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == 2, F.lit(False))
+
+
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = lang.fit(docs.filter(~held_out(4)).select("text", "lang"))
+    judged = lang.identify(docs.select("doc_id", held_out(4).alias("held_out"), "text"), model)
+    return judged.select("doc_id", "held_out", "language.*")
+
+
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select(
@@ -46,6 +58,7 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_counts": token_counts,
+    "op3_language_id": language_id,
     "op7_line_dedup": line_dedup,
     "op8_minhash_near_dedup": near_dedup,
     "op10_url_filters": url_filters,
