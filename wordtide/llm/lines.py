@@ -72,7 +72,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     given = docs.columns
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     lines = written(_numbered_lines(docs.select("doc_id", "text"), min_chars), "lines")
-    repeated = repeated_keys(lines, min_docs)
+    repeated = written(repeated_keys(lines, min_docs), "repeated-keys")
     places = (
         lines.join(repeated, ["k1", "k2"])
         .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
