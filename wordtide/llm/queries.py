@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm import counts, lang, lines, near, urls
+from wordtide.llm import counts, decontaminate, lang, lines, near, urls
 from wordtide.llm.store import table
 
 URL_RULES = [
@@ -40,6 +40,16 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "language.*")
 
 
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_benchmark(docs, table(spark, folder, "benchmark"))
+    items = F.transform("leaks", lambda leak: leak["item_id"])
+    return found.select(
+        "doc_id", (F.size("leaks") > 0).alias("contaminated"), items.alias("item_ids"),
+        F.array_min(F.transform("leaks", lambda leak: leak["edits"])).alias("least_edits"),
+    )
+
+
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select(
@@ -59,6 +69,7 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_token_counts": token_counts,
     "op3_language_id": language_id,
+    "op5_benchmark_decontamination": decontamination,
     "op7_line_dedup": line_dedup,
     "op8_minhash_near_dedup": near_dedup,
     "op10_url_filters": url_filters,
