@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm import counts, decontaminate, lang, lines, near, urls
+from wordtide.llm import counts, decontaminate, lang, lines, near, toxic, urls
 from wordtide.llm.store import table
 
 URL_RULES = [
@@ -61,6 +61,15 @@ def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), percent=85)
 
 
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", held_out(4).alias("held_out"), "text")
+    model = toxic.fit(docs.filter("NOT held_out"), table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label")))
+    return toxic.score(docs, model).select(
+        "doc_id", "held_out", F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.3).cast("int").alias("predicted"), F.col("toxicity.offending").alias("offending"),
+    )
+
+
 def url_filters(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.url_filter(table(spark, folder, "pages").select("page_id", "url"), rules)
@@ -72,5 +81,6 @@ QUERIES = {
     "op5_benchmark_decontamination": decontamination,
     "op7_line_dedup": line_dedup,
     "op8_minhash_near_dedup": near_dedup,
+    "op9_toxicity": toxicity,
     "op10_url_filters": url_filters,
 }

@@ -61,10 +61,9 @@ def ascii_lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, words before each text) of the words, which white space and text ends bound."""
-    inside = ~_SPACE[data]
-    n = len(data)
+def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, runs before each text) of the runs of set places; text ends part runs."""
+    n = len(inside)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     fresh = np.zeros(n + 1, bool)
@@ -77,6 +76,11 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.flatnonzero(finish) + 1, np.searchsorted(starts, offsets)
 
 
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, words before each text) of the words, which white space and text ends bound."""
+    return spans(~_SPACE[data], offsets)
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(max(n, 1), base, U64)
     out[0] = 1
