@@ -85,16 +85,16 @@ def noisy_or(logits: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def train(
-    rows: np.ndarray, index: np.ndarray, bounds: np.ndarray, labels: np.ndarray, share: np.ndarray, n: int,
-    steps: int = 200, rate: float = 0.1, decay: float = 1e-3,
+    rows: np.ndarray, index: np.ndarray, bounds: np.ndarray, labels: np.ndarray, share: np.ndarray, start: np.ndarray,
+    steps: int = 200, rate: float = 0.1, decay: float = 1e-5,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam on the likelihood of the document labels.
 
     rows, index: sentence and feature of each occurrence; bounds: sentences before each document;
-    share: what each document counts for.
+    share: what each document counts for; start: the weights to begin with.
     """
-    w, sentences = np.zeros(n + 1), int(bounds[-1])
-    w[n] = -4.0
+    n, sentences = len(start), int(bounds[-1])
+    w = np.append(start, -5.0)
     share = share / share.sum()
     first, second = np.zeros(n + 1), np.zeros(n + 1)
     document = np.repeat(np.arange(len(labels)), np.diff(bounds))
@@ -152,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, most_bytes: i
 
     It is fitted on a bounded sample: about ``per_class`` labelled texts of each class, of at most
     ``most_bytes`` bytes each, picked by a hash of doc_id; a text counts for those left out of its
-    class. Features are the words and beginnings of words that differ most between the classes. No
+    class. Features are the words and beginnings of words that speak most for the toxic class. No
     sentence has a label: a document's label is that of the noisy-or over its sentences.
 
     Null texts, and labels other than 0 and 1, give nothing. Of several labels of a document the
@@ -168,10 +168,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, most_bytes: i
         return nothing
     t, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
     odds = F.log(t / (yes + 1 - t)) - F.log(c / (no + 1 - c))
-    best = summed.withColumn("z", F.abs(odds) / F.sqrt(1 / t + 1 / c)).filter("z > 3").orderBy(F.desc("z"), "feature").limit(most_features)
-    known = np.sort(np.array([r["feature"] for r in best.select("feature").collect()], np.int64).view(np.uint64))
-    if not len(known):
+    best = summed.withColumn("z", odds / F.sqrt(1 / t + 1 / c)).filter("z > 3").orderBy(F.desc("z"), "feature").limit(most_features)
+    picked = best.select("feature", odds.alias("odds")).toPandas()
+    if not len(picked):
         return nothing
+    known = picked["feature"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    known, start = known[order], np.minimum(picked["odds"].to_numpy(np.float64)[order], 8.0) / 2
     probe = Model(known, np.zeros(len(known)), 0.0)
 
     def occurrences(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -195,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, most_bytes: i
     bounds = np.concatenate(([0], np.cumsum(rows["sentences"].to_numpy()))).astype(np.int64)
     at = np.concatenate([np.asarray(a, np.int64) + b for a, b in zip(rows["at"], bounds[:-1], strict=True)])
     index = np.concatenate([np.asarray(f, np.int64) for f in rows["feature"]])
-    weights, bias = train(at, index, bounds, rows["label"].to_numpy(), rows["share"].to_numpy(), len(known))
+    weights, bias = train(at, index, bounds, rows["label"].to_numpy(), rows["share"].to_numpy(), start)
     return Model(known, weights, bias)
 
 
