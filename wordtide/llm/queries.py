@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm import counts, decontaminate, lang, lines, near, toxic, urls
+from wordtide.llm import counts, decontaminate, lang, lines, near, pieces, toxic, urls
 from wordtide.llm.store import table
 
 URL_RULES = [
@@ -40,6 +40,15 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "language.*")
 
 
+def sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = pieces.encode_decode(docs, token_file("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id", F.size("pieces.ids").cast("bigint").alias("n_pieces"), F.xxhash64("pieces.ids").alias("ids_hash"),
+        (F.col("pieces.decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_benchmark(docs, table(spark, folder, "benchmark"))
@@ -78,6 +87,7 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_token_counts": token_counts,
     "op3_language_id": language_id,
+    "op4_sentencepiece": sentence_pieces,
     "op5_benchmark_decontamination": decontamination,
     "op7_line_dedup": line_dedup,
     "op8_minhash_near_dedup": near_dedup,
