@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm import counts, decontaminate, lang, lines, near, pieces, toxic, urls
+from wordtide.llm import ann, counts, decontaminate, lang, lines, near, pieces, toxic, urls
 from wordtide.llm.store import table
 
 URL_RULES = [
@@ -23,6 +23,11 @@ def token_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return counts.token_counts(docs, token_file("byte_bpe_50k.json"))
@@ -85,6 +90,7 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_nearest_neighbours": nearest_vectors,
     "op2_token_counts": token_counts,
     "op3_language_id": language_id,
     "op4_sentencepiece": sentence_pieces,
