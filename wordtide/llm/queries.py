@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm import ann, counts, decontaminate, lang, lines, near, pieces, toxic, urls
+from wordtide.llm import ann, counts, decontaminate, lang, lines, lm, near, pieces, toxic, urls
 from wordtide.llm.store import table
 
 URL_RULES = [
@@ -64,6 +64,11 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", held_out(7).alias("held_out"), "text")
+    return lm.score(docs, docs.filter("NOT held_out"))
+
+
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select(
@@ -95,6 +100,7 @@ QUERIES = {
     "op3_language_id": language_id,
     "op4_sentencepiece": sentence_pieces,
     "op5_benchmark_decontamination": decontamination,
+    "op6_lm_scoring": lm_scoring,
     "op7_line_dedup": line_dedup,
     "op8_minhash_near_dedup": near_dedup,
     "op9_toxicity": toxicity,
