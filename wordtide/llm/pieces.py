@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 # Fixed value: the letter that stands for a space.
 SPACE = "▁"
-# Segments up to this many characters are remembered, and up to so many of them in a process.
+# Segments up to this many characters are remembered, and up to so many findings in a process.
 REMEMBERED_CHARS, REMEMBERED = 48, 400_000
+REMEMBERED_SEGMENTS = 1_000_000
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -188,19 +189,34 @@ class Viterbi:
         return out[::-1]
 
 
+def _segments(pieces: Pieces) -> Callable[[str], list[str]]:
+    """A function that cuts a text where no piece can cross, so that all paths have a boundary there.
+
+    Which places those are follows from the pairs of characters that stand together in some piece:
+    around control characters in none of them, ahead of a space after anything but a space, and
+    ahead of a mark after a letter.
+    """
+    inner = {(a, b) for p in pieces.ids for a, b in zip(p, p[1:], strict=False)}
+    within = {c for pair in inner for c in pair}
+    alone = "".join(re.escape(c) for c in "\n\t\r" if c not in within)
+    either = f"[{alone}]|" if alone else ""
+    if any(a != SPACE and b == SPACE for a, b in inner):
+        return re.compile(f"{either}[^{alone}]+" if alone else "(?s:.+)").findall
+    marks = {c for c in within if not c.isalpha() and not c.isdecimal() and c != SPACE}
+    while drop := {b for a, b in inner if b in marks and a != SPACE and a not in marks}:
+        marks -= drop
+    m = "".join(map(re.escape, sorted(marks)))
+    word = f"[^{SPACE}{alone}{m}]+"
+    return re.compile(f"{either}{SPACE}*[{m}]*{word}|{SPACE}*[{m}]+|{SPACE}+" if m else f"{either}{SPACE}*{word}|{SPACE}+").findall
+
+
 class Encoder(dict):
     """Segment to the bytes of its ids. A segment begins and ends where no piece of the vocabulary crosses."""
 
     def __init__(self, pieces: Pieces) -> None:
         super().__init__()
         self.pieces, self.search = pieces, Viterbi(pieces)
-        inner = {(a, b) for p in pieces.ids for a, b in zip(p, p[1:], strict=False)}
-        within = {c for pair in inner for c in pair}
-        alone = "".join(re.escape(c) for c in "\n\t\r" if c not in within)
-        if any(a != SPACE and b == SPACE for a, b in inner):  # a piece may cross from a word to a space
-            self.segments = re.compile(f"[{alone}]|[^{alone}]+" if alone else "(?s:.+)").findall
-        else:
-            self.segments = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|[{alone}]" if alone else "")).findall
+        self.segments = _segments(pieces)
 
     def __missing__(self, segment: str) -> bytes:
         ids: list[int] = []
@@ -216,7 +232,7 @@ class Encoder(dict):
                 ids.append(self.pieces.unknown)
         out = np.array(ids, np.int32).tobytes()
         if len(segment) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED_SEGMENTS:
                 self.clear()
             self[segment] = out
         return out
