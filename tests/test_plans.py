@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from wordtide import operators as op
-from wordtide import sources as src
 from wordtide.plans import BOUNDED
 from wordtide.sources import tables
 
@@ -46,23 +45,14 @@ def test_no_query_leaves_the_jvm(spark, folder):
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
 
 
-def test_words_are_cut_once_per_text(spark, folder, monkeypatch):
-    monkeypatch.setattr(tables, "SMALL_SCAN_BYTES", 0)
+def test_words_are_cut_once_per_text(spark, folder):
     text = plan(BOUNDED["flow_transitions"](spark, folder))
     assert text.count("regexp_replace") == 1
     assert text.count("Exchange") == 1
     assert "ReadSchema: struct<text:string>" in text
 
 
-def test_large_scans_are_not_spread(spark, folder, monkeypatch):
-    scan = tables.table(spark, folder, "documents")
-    assert "REPARTITION" in plan(src.spread_small_scan(scan, "doc_id"))
-    monkeypatch.setattr(tables, "SMALL_SCAN_BYTES", 0)
-    assert src.spread_small_scan(scan, "doc_id") is scan
-
-
-def test_projections_do_not_shuffle(spark, folder, monkeypatch):
-    monkeypatch.setattr(tables, "SMALL_SCAN_BYTES", 0)
+def test_projections_do_not_shuffle(spark, folder):
     for name in ("tokenize_words", "classify_words", "filter_long", "raw_messages", "list_ingest"):
         assert "Exchange" not in plan(BOUNDED[name](spark, folder)), name
 
@@ -107,3 +97,20 @@ def test_heartbeats_add_one_pass_over_the_time_column(spark, folder):
     assert text.count("FileScan") == 2
     assert text.count("ReadSchema: struct<ts:timestamp_ntz>") == 1
     assert "Join" not in text
+
+
+def test_newest_words_are_found_without_older_texts(spark, folder):
+    docs = tables.table(spark, folder, "documents")
+    newest = op.recent_words(docs, "doc_id")
+    (read,) = scanned_rows(newest, "text")
+    assert newest.count() == 15 and read < 1500
+
+
+def test_newest_words_behind_many_blank_texts(spark):
+    texts = spark.range(1000).selectExpr("id as n", "if(id < 3, concat('w', id), ' ') as text")
+    got = [r["word"] for r in op.recent_words(texts, "n").orderBy("rank").collect()]
+    assert got == ["w2", "w1", "w0"]
+
+
+def test_fan_out_reads_texts_once(spark, folder):
+    assert plan(BOUNDED["channel_fanout"](spark, folder)).count("FileScan") == 1

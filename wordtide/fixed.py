@@ -41,11 +41,12 @@ BATCH_SECONDS = 3
 DETAIL_ROWS = 10
 RECENT_ROWS = 15
 
-# --- fixed values: titles of the dashboard views -------------------------------------------
-SUMMARY_TITLE = "Summary Metrics"
-FLOW_TITLE = "Data Flow Visualization"
-DETAIL_TITLE = "Detail Counts"
-RAW_TITLE = "Raw Data Stream"
+# Titles of the dashboard views
+SUMMARY_TITLE = "Latest batch"
+FLOW_TITLE = "Word flow"
+DETAIL_TITLE = "Shortest words by length"
+RAW_TITLE = "Newest words"
+OPERATION_TITLE = "Operation"
 
 # --- fixed values: JSON payload formats, fields in published order ------------------------
 TRANSITIONS_PAYLOAD = T.ArrayType(

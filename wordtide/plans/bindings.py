@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from wordtide.fixed import BATCH_SECONDS
 from wordtide.operators import batch_of, distinct_words, interval_number, tokenize
-from wordtide.sources import keyed_messages, spread_small_scan, stream_table, table
-from wordtide.sources.tables import is_small_scan
+from wordtide.sources import keyed_messages, stream_table, table
 
 ORIGIN = "2024-01-01 00:00:00"
 ORIGIN_EPOCH = 1_704_067_200  # the same, in seconds since 1970-01-01 UTC
@@ -24,8 +23,8 @@ def doc_batch() -> F.Column:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, text), spread over the cores where the table is small."""
-    return spread_small_scan(table(spark, folder, "documents"), "doc_id").select("doc_id", "text")
+    """(doc_id, text)."""
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
 def words(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,15 +32,15 @@ def words(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize(documents(spark, folder))
 
 
-def batched_words(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, batch, pos, word)."""
-    return tokenize(documents(spark, folder).select("doc_id", doc_batch(), "text"))
+def batched_words(spark: SparkSession, folder: str, blanks: bool = False) -> DataFrame:
+    """(doc_id, batch, pos, word); with ``blanks``, a null word for a text that has none."""
+    docs = documents(spark, folder).select("doc_id", doc_batch(), "text")
+    return tokenize(docs, blanks=blanks)
 
 
 def batched_values(spark: SparkSession, folder: str) -> DataFrame:
     """Words as pending messages (batch, key, value) of the document's language, for set ingest."""
-    docs = spread_small_scan(table(spark, folder, "documents"), "doc_id")
-    return value_messages(docs)
+    return value_messages(table(spark, folder, "documents"))
 
 
 def value_messages(docs: DataFrame) -> DataFrame:
@@ -85,14 +84,11 @@ def batch_end() -> F.Column:
 
 
 def document_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents table as a stream, spread where ``documents`` would spread it."""
-    stream = stream_table(spark, folder, "documents")
-    if is_small_scan(table(spark, folder, "documents")):
-        stream = stream.repartition(spark.sparkContext.defaultParallelism, "doc_id")
-    return stream
+    """The documents table as a stream."""
+    return stream_table(spark, folder, "documents")
 
 
-def batched_word_stream(spark: SparkSession, folder: str) -> DataFrame:
+def batched_word_stream(spark: SparkSession, folder: str, blanks: bool = False) -> DataFrame:
     """(doc_id, batch, pos, word, seq) as a stream."""
     docs = document_stream(spark, folder).select("doc_id", doc_batch(), "text")
-    return tokenize(docs).withColumn("seq", raw_order())
+    return tokenize(docs, blanks=blanks).withColumn("seq", raw_order())

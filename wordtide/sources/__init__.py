@@ -1,6 +1,6 @@
 """Sources: keyed messages, text corpora, ticks."""
 
-from wordtide.sources.corpus import corpus_messages, read_corpus
+from wordtide.sources.corpus import corpus_messages, next_number, read_corpus
 from wordtide.sources.messages import (
     ingest,
     ingest_list,
@@ -10,7 +10,7 @@ from wordtide.sources.messages import (
     stream_messages,
     structure_of,
 )
-from wordtide.sources.tables import spread_small_scan, stream_table, table
+from wordtide.sources.tables import stream_table, table
 from wordtide.sources.ticks import heartbeat_stream, ticks
 
 __all__ = [
@@ -20,9 +20,9 @@ __all__ = [
     "ingest_list",
     "ingest_set",
     "keyed_messages",
+    "next_number",
     "read_corpus",
     "read_messages",
-    "spread_small_scan",
     "stream_messages",
     "stream_table",
     "structure_of",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wordtide.operators.words import tokenize
+from wordtide.sources.messages import read_messages
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
@@ -17,13 +20,35 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
 
 
-def corpus_messages(spark: SparkSession, path: str, key: str = "words") -> DataFrame:
-    """The words of one corpus file as messages (key, value, seq), in the order of the text.
+def corpus_messages(
+    spark: SparkSession, path: str, key: str = "words", first: int = 0
+) -> DataFrame:
+    """The words of a corpus as messages (key, value, seq), file after file, in the order of the text.
 
-    Appended to the folder of a message stream, they feed it.
+    ``seq`` counts from ``first`` over all files. Appended to the folder of a message stream, they
+    feed it.
     """
-    return tokenize(read_corpus(spark, path)).select(
+    texts = read_corpus(spark, path).withColumn("file", F.input_file_name())
+    words = tokenize(texts)
+    before = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    # one row per file
+    starts = words.groupBy("file").agg(F.count("*").alias("n")).select(
+        "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    )
+    return words.join(starts, "file").select(
         F.lit(key).alias("key"),
         F.col("word").alias("value"),
-        F.col("pos").cast("bigint").alias("seq"),
+        (F.col("start") + F.col("pos") + F.lit(first)).cast("bigint").alias("seq"),
     )
+
+
+def next_number(spark: SparkSession, messages: str, key: str) -> int:
+    """The ``seq`` after the last one of a key in a folder of messages; 0 where there is no folder."""
+    try:
+        found = read_messages(spark, messages, [key])
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    last = found.agg(F.max("seq")).first()[0]
+    return 0 if last is None else last + 1

@@ -84,16 +84,15 @@ def stream_messages(
     keys: Iterable[str] | None = None,
     schema: T.StructType = MESSAGE_SCHEMA,
     file_format: str = "parquet",
-    max_files_per_batch: int = 1000,
+    max_files_per_batch: int | None = None,
 ) -> DataFrame:
     """The same messages as a stream: files are taken up as they arrive in the folder.
 
     Replayable, so with a checkpoint nothing is lost or taken twice over a restart. For set ingest
     call ``ingest_set`` inside the batch function, where the micro-batch is the span.
+    ``max_files_per_batch`` limits a micro-batch's files, if given; with sets, it moves the span.
     """
-    reader = (
-        spark.readStream.schema(schema)
-        .format(file_format)
-        .option("maxFilesPerTrigger", max_files_per_batch)
-    )
+    reader = spark.readStream.schema(schema).format(file_format)
+    if max_files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     return keyed_messages(reader.load(path), keys)

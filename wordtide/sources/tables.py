@@ -4,43 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Parquet row groups are 128 MB by default and a row group is read by one task. Below two of them a
-# table may well be a single one, whatever the number of cores.
-SMALL_SCAN_BYTES = 256 * 1024 * 1024
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def is_small_scan(scan: DataFrame) -> bool:
-    """Whether the scan's estimated size is below ``SMALL_SCAN_BYTES``."""
-    stats = scan._jdf.queryExecution().optimizedPlan().stats()
-    return stats.sizeInBytes() < SMALL_SCAN_BYTES
-
-
-def spread_small_scan(scan: DataFrame, *keys: str) -> DataFrame:
-    """Spread a small scan over all cores before costly row work; leave any other scan alone.
-
-    A table of many row groups already fills the cluster, and moving its texts would be the most
-    expensive shuffle there is. The move is only made below a fixed size.
-    """
-    if not is_small_scan(scan):
-        return scan
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys)
-
-
 def stream_table(
-    spark: SparkSession, folder: str, name: str, max_files_per_batch: int = 1000
+    spark: SparkSession, folder: str, name: str, max_files_per_batch: int | None = None
 ) -> DataFrame:
     """The table's files as a stream; the schema is the table's own.
 
+    ``max_files_per_batch`` limits a micro-batch's files, if given.
+
     The braces make the path a glob: a stream takes a plain path for a folder, and the table may be
     a single file.
     """
-    return (
-        spark.readStream.schema(table(spark, folder, name).schema)
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .parquet(f"{folder}/{{{name}.parquet}}")
-    )
+    reader = spark.readStream.schema(table(spark, folder, name).schema)
+    if max_files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    return reader.parquet(f"{folder}/{{{name}.parquet}}")

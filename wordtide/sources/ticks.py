@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def ticks(spark: SparkSession, per_second: int = 1) -> DataFrame:
     """A stream of (tick, time)."""
-    rate = spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
+    rate = spark.readStream.format("rate").option("rowsPerSecond", per_second)
+    rate = rate.option("numPartitions", 1).load()  # few rows: one task is enough
     return rate.select(F.col("value").alias("tick"), F.col("timestamp").alias("time"))
 
 
