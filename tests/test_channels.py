@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from wordtide import operators as op
@@ -75,3 +76,29 @@ def test_raw_messages_and_subscription(spark, words, rows):
     other = raw.unionByName(raw.withColumn("channel", F.lit("spam")))
     assert rows(op.channel_totals(op.subscribe(other))) == [("raw-messages", 2)]
     assert op.subscribe(other, ["summary-metrics"]).count() == 0
+
+
+@pytest.mark.parametrize(
+    "parse, channel",
+    [
+        (op.parse_transitions, "stream-transitions"),
+        (op.parse_summaries, "summary-metrics"),
+        (op.parse_details, "detail-metrics"),
+    ],
+)
+def test_malformed_messages_are_errors(spark, parse, channel):
+    broken = spark.createDataFrame([(channel, "{broken")], "channel string, message string")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        parse(broken).collect()
+
+
+def test_texts_without_words_leave_their_batch(spark, rows):
+    texts = spark.createDataFrame(
+        [(1, "one"), (2, " \t"), (3, None), (4, "")], "batch bigint, text string"
+    )
+    words = op.tokenize(texts, blanks=True)
+    envelopes = op.channel_envelopes(words, ["batch"], time())
+    assert rows(op.parse_summaries(envelopes, ["batch"]), "batch", "total_words") == [
+        (1, 1), (2, 0), (3, 0), (4, 1),
+    ]
+    assert op.tokenize(texts).count() == 2

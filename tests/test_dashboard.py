@@ -9,8 +9,8 @@ from wordtide import operators as op
 
 def test_summary_cards(spark, words, rows):
     df = words((7, "abcd"), (7, "is"), (7, "a"))
-    assert rows(op.summary_cards(df)) == [(3, 7, 233, 7)]
-    assert rows(op.summary_cards(words((8, None)))) == [(0, 0, 0, 8)]
+    assert rows(op.summary_cards(df)) == [(3, 7, 233, "2.33", 7)]
+    assert rows(op.summary_cards(words((8, None)))) == [(0, 0, 0, "0.00", 8)]
 
 
 def test_flow_rows_floor_zero_weights(spark, words):

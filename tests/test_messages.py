@@ -112,3 +112,15 @@ def test_read_and_stream_messages(spark, messages, tmp_path, rows):
     )
     query.awaitTermination()
     assert rows(spark.table("keyed"), "seq") == [(1,), (2,), (5,)]
+
+
+def test_drain_keeps_rows_with_nulls(spark, rows):
+    given = [(1, "a", 3), (1, "a", None), (1, "a", None), (None, "a", 3), (1, None, 7), (1, None, 2)]
+    frame = spark.createDataFrame(given, "batch bigint, key string, seq bigint")
+    assert rows(op.round_robin_drain(frame, slice_bits=2)) == sorted(
+        [
+            (1, "a", 3, 1), (1, "a", None, 2), (1, "a", None, 3),
+            (None, "a", 3, 1), (1, None, 2, 1), (1, None, 7, 2),
+        ],
+        key=repr,
+    )

@@ -5,6 +5,7 @@ from wordtide.functions.figures import (
     floor_at_one,
     floor_quotient,
     hundredths,
+    two_decimals,
     whole_quotient,
 )
 from wordtide.functions.text import (
@@ -30,6 +31,7 @@ __all__ = [
     "is_positive",
     "is_short",
     "strip_punctuation",
+    "two_decimals",
     "whole_quotient",
     "word_array",
 ]

@@ -19,6 +19,12 @@ def hundredths(total: Column, n: Column) -> Column:
     return F.when(n == 0, F.lit(0)).otherwise(whole_quotient(200 * total + n, 2 * n))
 
 
+def two_decimals(count: Column) -> Column:
+    """An integer count of hundredths as it is shown: 350 is 3.50."""
+    whole = whole_quotient(count, F.lit(100)).cast("string")
+    return F.concat(whole, F.lit("."), F.lpad(F.pmod(count, F.lit(100)).cast("string"), 2, "0"))
+
+
 def whole_quotient(dividend: Column, divisor: Column) -> Column:
     """Integer division, exact over the whole BIGINT range."""
     return F.call_function("div", dividend, divisor)

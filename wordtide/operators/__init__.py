@@ -29,6 +29,7 @@ from wordtide.operators.dashboard import (
     progress_view,
     published_details,
     published_flow,
+    published_operation,
     published_recent,
     published_summary,
     recent_words,
@@ -85,6 +86,7 @@ __all__ = [
     "progress_view",
     "published_details",
     "published_flow",
+    "published_operation",
     "published_recent",
     "published_summary",
     "raw_messages",

@@ -22,6 +22,7 @@ from wordtide.functions import average
 from wordtide.operators.metrics import branch_totals, length_profile, summary_totals
 
 UTC = {"timeZone": "UTC"}
+STRICT = {"mode": "FAILFAST"}  # a malformed message is an error, not an absent one
 
 
 def channel_envelopes(
@@ -96,7 +97,7 @@ def channel_totals(messages: DataFrame) -> DataFrame:
 
 def parse_transitions(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Flow edges out of transition messages."""
-    payload = F.from_json("message", TRANSITIONS_PAYLOAD)
+    payload = F.from_json("message", TRANSITIONS_PAYLOAD, STRICT)
     return (
         subscribe(messages, [STREAM_TRANSITIONS])
         .select(*by, F.posexplode_outer(payload).alias("at", "edge"))
@@ -113,7 +114,7 @@ def parse_transitions(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def parse_summaries(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Typed columns out of summary messages."""
-    payload = F.from_json("message", SUMMARY_PAYLOAD, UTC).alias("summary")
+    payload = F.from_json("message", SUMMARY_PAYLOAD, {**UTC, **STRICT}).alias("summary")
     return (
         subscribe(messages, [SUMMARY_METRICS])
         .select(*by, payload)
@@ -129,7 +130,7 @@ def parse_summaries(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def parse_details(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Histogram rows out of detail messages; an empty histogram has none."""
-    payload = F.from_json("message", DETAILS_PAYLOAD)
+    payload = F.from_json("message", DETAILS_PAYLOAD, STRICT)
     return (
         subscribe(messages, [DETAIL_METRICS])
         .select(*by, F.explode_outer(payload).alias("detail"))

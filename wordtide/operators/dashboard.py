@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,7 +17,7 @@ from wordtide.fixed import (
     STREAM_TRANSITIONS,
     SUMMARY_METRICS,
 )
-from wordtide.functions import floor_at_one, has_words, hundredths
+from wordtide.functions import floor_at_one, hundredths, two_decimals
 from wordtide.operators.batches import interval_number, interval_start
 from wordtide.operators.channels import (
     parse_details,
@@ -34,6 +34,10 @@ from wordtide.operators.metrics import (
 from wordtide.operators.words import tokenize
 
 
+# Numbers of texts that ``recent_words`` sorts at most before it takes the whole table.
+WIDEST = 1_000_000
+
+
 def latest_batch(rows: DataFrame, number: str, per_batch: int = 1) -> DataFrame:
     """Rows of the newest batch, where a batch is ``per_batch`` consecutive values of ``number``.
 
@@ -55,13 +59,19 @@ def latest_interval(
 
 
 def summary_cards(rows: DataFrame, batch: str = "batch") -> DataFrame:
-    """The three cards of one batch; the average as an integer count of hundredths."""
+    """The three cards of one batch; the average as a count of hundredths, and as it is shown."""
     totals = measure(rows).groupBy(F.col(batch).alias("last_batch")).agg(*summary_totals())
+    return _cards(totals, "last_batch")
+
+
+def _cards(totals: DataFrame, *keep: Column | str) -> DataFrame:
+    average = hundredths(F.col("total_chars"), F.col("total_words"))
     return totals.select(
         "total_words",
         "total_chars",
-        hundredths(F.col("total_chars"), F.col("total_words")).alias("avg_hundredths"),
-        "last_batch",
+        average.alias("avg_hundredths"),
+        two_decimals(average).alias("avg_shown"),
+        *keep,
     )
 
 
@@ -93,20 +103,24 @@ def recent_words(
 ) -> DataFrame:
     """The newest ``limit`` words as (rank, word), newest first.
 
-    ``number`` is the unique arrival number of the texts. Any text that passes ``has_words`` gives
-    at least one word, so the newest words are among those of the newest ``limit`` such texts. A
-    top-k over the bare numbers finds where those texts start; the filter on ``number`` then lets
-    the file scan skip older row groups, and only what is left is cut into words.
+    ``number`` is the unique arrival number of the texts. The newest ``limit`` numbers are found
+    without their texts; the filter on ``number`` then lets the file scan skip older row groups, and
+    only what is left is cut into words. If too few words come out, the range is widened, at last to
+    the whole table. Rows without a number have no place in the order and are left out.
     """
-    newest_texts = texts.where(has_words(F.col(text))).select(number)
-    newest_texts = newest_texts.orderBy(F.col(number).desc()).limit(limit)
-    start = newest_texts.agg(F.min(number).alias("start"))
-    newest = (
-        tokenize(texts.where(F.col(number) >= start.scalar()).select(number, text), text)
-        .orderBy(F.col(number).desc(), F.col("pos").desc())
-        .limit(limit)
-    )
-    return _ranked(newest, number, "pos", "word")
+    numbers = texts.where(F.col(number).isNotNull()).select(number)
+    numbered = texts.where(F.col(number).isNotNull()).select(number, text)
+    size = limit
+    while True:
+        newest_numbers = numbers.orderBy(F.col(number).desc()).limit(size)
+        start, found = newest_numbers.agg(F.min(number), F.count(number)).first()
+        every = found < size or size > WIDEST
+        part = numbered if every else numbered.where(F.col(number) >= F.lit(start))
+        newest = tokenize(part, text).orderBy(F.col(number).desc(), F.col("pos").desc())
+        newest = newest.limit(limit)
+        if every or newest.count() == limit:
+            return _ranked(newest, number, "pos", "word")
+        size *= 16
 
 
 def _ranked(newest: DataFrame, *columns: str) -> DataFrame:
@@ -124,59 +138,88 @@ def operational_metrics(
 ) -> DataFrame:
     """Messages, rate and interval of each batch."""
     totals = measure(rows).groupBy(*by).agg(F.sum("n_words").alias("n_messages"))
-    return totals.select(
-        *by,
-        "n_messages",
+    return totals.select(*by, "n_messages", *_rate(seconds))
+
+
+def _rate(seconds: int) -> list[Column]:
+    return [
         (F.col("n_messages") / F.lit(float(seconds))).alias("msgs_per_s"),
         F.lit(seconds * 1000).alias("interval_ms"),
-    )
+    ]
 
 
-def latest_messages(messages: DataFrame, channel: str, batch: str = "batch_id") -> DataFrame:
-    """Messages of a channel in its newest batch. On a channel table only its folder is read."""
+def latest_messages(
+    messages: DataFrame, channel: str, batch: str = "batch_id", newest: int | None = None
+) -> DataFrame:
+    """Messages of a channel in its newest batch.
+
+    ``newest``: the number of that batch, if known (``ChannelTable.newest``); then only its folder
+    of a channel table is read. Without it the batch numbers of the channel are read first.
+    """
     of_channel = subscribe(messages, [channel])
-    newest = of_channel.agg(F.max(batch).alias("newest"))
-    return of_channel.where(F.col(batch) == newest.scalar())
+    if newest is not None:
+        return of_channel.where(F.col(batch) == F.lit(newest))
+    found = of_channel.agg(F.max(batch).alias("newest"))
+    return of_channel.where(F.col(batch) == found.scalar())
 
 
-def published_summary(messages: DataFrame, batch: str = "batch_id") -> DataFrame:
+def published_summary(
+    messages: DataFrame, batch: str = "batch_id", newest: int | None = None
+) -> DataFrame:
     """``summary_cards`` of the newest summary message, with the time it carries."""
-    latest = parse_summaries(latest_messages(messages, SUMMARY_METRICS, batch), [batch])
+    latest = parse_summaries(latest_messages(messages, SUMMARY_METRICS, batch, newest), [batch])
+    return _cards(latest, F.col(batch).alias("last_batch"), "batch_time")
+
+
+def published_operation(
+    messages: DataFrame,
+    batch: str = "batch_id",
+    newest: int | None = None,
+    seconds: int = BATCH_SECONDS,
+) -> DataFrame:
+    """Messages, rate, interval and time of the newest batch, out of its summary message."""
+    latest = parse_summaries(latest_messages(messages, SUMMARY_METRICS, batch, newest), [batch])
     return latest.select(
-        "total_words",
-        "total_chars",
-        hundredths(F.col("total_chars"), F.col("total_words")).alias("avg_hundredths"),
-        F.col(batch).alias("last_batch"),
-        "batch_time",
-    )
+        F.col(batch).alias("last_batch"), F.col("total_words").alias("n_messages"), "batch_time"
+    ).select("last_batch", "n_messages", *_rate(seconds), "batch_time")
 
 
-def published_flow(messages: DataFrame, batch: str = "batch_id") -> DataFrame:
+def published_flow(
+    messages: DataFrame, batch: str = "batch_id", newest: int | None = None
+) -> DataFrame:
     """``flow_rows`` of the newest transitions message."""
-    return _flow_view(parse_transitions(latest_messages(messages, STREAM_TRANSITIONS, batch)))
+    latest = latest_messages(messages, STREAM_TRANSITIONS, batch, newest)
+    return _flow_view(parse_transitions(latest))
 
 
 def published_details(
-    messages: DataFrame, batch: str = "batch_id", limit: int = DETAIL_ROWS
+    messages: DataFrame,
+    batch: str = "batch_id",
+    newest: int | None = None,
+    limit: int = DETAIL_ROWS,
 ) -> DataFrame:
     """``detail_list`` of the newest details message."""
-    return _detail_view(parse_details(latest_messages(messages, DETAIL_METRICS, batch)), limit)
+    latest = latest_messages(messages, DETAIL_METRICS, batch, newest)
+    return _detail_view(parse_details(latest), limit)
 
 
 def published_recent(
     messages: DataFrame, batch: str = "batch_id", limit: int = RECENT_ROWS
 ) -> DataFrame:
-    """The newest raw messages as (rank, word), newest first, by batch and ``seq``.
+    """The newest raw messages as (rank, word), newest first, by batch, ``seq`` and word.
 
-    Batches first: the newest ``limit`` messages lie in the batches of any ``limit`` newest ones, so
-    older folders of a channel table are not read.
+    Batches first: the newest ``limit`` messages lie in the newest ``limit`` batches that have any.
+    Which those are is told by the summary channel, one row per batch, so no older raw folder of a
+    channel table is read.
     """
-    raw = subscribe(messages, [RAW_MESSAGES])
-    start = raw.select(batch).orderBy(F.col(batch).desc()).limit(limit).agg(F.min(batch))
+    summaries = parse_summaries(subscribe(messages, [SUMMARY_METRICS]), [batch])
+    filled = summaries.where(F.col("total_words") > 0).select(batch)
+    start = filled.orderBy(F.col(batch).desc()).limit(limit).agg(F.min(batch))
     newest = (
-        raw.where(F.col(batch) >= start.scalar())
+        subscribe(messages, [RAW_MESSAGES])
+        .where(F.col(batch) >= start.scalar())
         .select(F.col(batch).alias("at_batch"), "seq", F.col("message").alias("word"))
-        .orderBy(F.col("at_batch").desc(), F.col("seq").desc())
+        .orderBy(F.col("at_batch").desc(), F.col("seq").desc(), F.col("word").desc())
         .limit(limit)
     )
     return _ranked(newest, "at_batch", "seq", "word")

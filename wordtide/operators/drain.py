@@ -21,8 +21,8 @@ def round_robin_drain(
 ) -> DataFrame:
     """Adds ``round``, the place of a message among those of its key and batch (from 1).
 
-    The drain order of a batch is (round, key). ``seq`` must be a BIGINT that is unique within a key
-    and batch; ``within`` and ``key`` must not be null.
+    The drain order of a batch is (round, key). ``seq`` is a BIGINT that is unique within a key and
+    batch. A null key or batch is one like any other; messages without ``seq`` come last in theirs.
 
     A plain ``row_number`` over (batch, key) sorts a group in one task, however large. Here a group
     is cut into slices of ``2 ** slice_bits`` consecutive ``seq`` values: rows are numbered inside
@@ -32,13 +32,8 @@ def round_robin_drain(
     """
     group = [*within, key]
     shifts = range(slice_bits, 64, slice_bits)
-    sliced = messages.withColumn("_slice", F.shiftright(seq, slice_bits))
-    # The joins below infer these tests, each for its own level. Made here for all levels, they
-    # leave the finest sizes the same subplan wherever it occurs, and it is computed once.
-    level = F.col("_slice")
-    for _ in shifts:
-        sliced = sliced.where(level.isNotNull())
-        level = F.shiftright(level, slice_bits)
+    last = F.lit((1 << (63 - slice_bits)) - 1).cast("bigint")  # the slice of the largest numbers
+    sliced = messages.withColumn("_slice", F.coalesce(F.shiftright(seq, slice_bits), last))
 
     # sizes[i]: number of messages per slice of level i, from fine to coarse
     sizes = [sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_size"))]
@@ -57,7 +52,7 @@ def round_robin_drain(
         before = _sum_before(W.partitionBy(*group, "_around").orderBy("_slice"))
         local = level.select("*", around).select(*group, "_around", "_slice", before.alias("_in"))
         outer = above.select(*group, F.col("_slice").alias("_around"), F.col("_start"))
-        return local.join(outer, [*group, "_around"]).select(
+        return _joined(local, outer, group, "_around").select(
             *group, "_slice", (F.col("_start") + F.col("_in")).alias("_start")
         )
 
@@ -66,13 +61,19 @@ def round_robin_drain(
     )
     starts = reduce(starts_below, reversed(sizes[:-1]), top)
 
-    place = F.row_number().over(W.partitionBy(*group, "_slice").orderBy(seq))
-    return (
-        sliced.withColumn("_place", place)
-        .join(starts, [*group, "_slice"])
-        .withColumn("round", F.col("_start") + F.col("_place"))
-        .drop("_slice", "_place", "_start")
-    )
+    place = F.row_number().over(W.partitionBy(*group, "_slice").orderBy(F.asc_nulls_last(seq)))
+    placed = _joined(sliced.withColumn("_place", place), starts, group, "_slice")
+    round_ = (F.col("_start") + F.col("_place")).alias("round")
+    return placed.select(*messages.columns, round_)
+
+
+def _joined(left: DataFrame, right: DataFrame, group: Sequence[str], level: str) -> DataFrame:
+    """An inner join by group, where nulls are equal, and by a slice."""
+    other = {name: f"_other{i}" for i, name in enumerate([*group, level])}
+    right = right.withColumnsRenamed(other)
+    same = [F.col(c).eqNullSafe(F.col(other[c])) for c in group]
+    same.append(F.col(level) == F.col(other[level]))
+    return left.join(right, reduce(lambda a, b: a & b, same)).drop(*other.values())
 
 
 def _sum_before(window: W) -> F.Column:

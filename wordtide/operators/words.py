@@ -15,14 +15,20 @@ from wordtide.functions import (
 )
 
 
-def tokenize(texts: DataFrame, text: str = "text") -> DataFrame:
+def tokenize(texts: DataFrame, text: str = "text", blanks: bool = False) -> DataFrame:
     """One row per word: ``pos`` (from 0) and ``word`` in place of the text column.
 
+    With ``blanks``, a text without words (a null one too) leaves one row with a null word, which
+    every metric takes for a heartbeat of the text's batch.
+
     Narrow: no shuffle, and one evaluation of the regular expressions per text. The outer form of
     the explode is deliberate. For the inner form Catalyst infers a size filter over the generator's
     input; no text gets to the explode with an empty array, so the filter could only cost.
     """
-    return _explode(texts, text, word_array(F.col(text)))
+    words = word_array(F.col(text))
+    if blanks:
+        return _explode(texts, F.when(has_words(F.col(text)), words), text)
+    return _explode(texts.where(has_words(F.col(text))), words, text)
 
 
 def distinct_words(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -30,17 +36,15 @@ def distinct_words(texts: DataFrame, text: str = "text") -> DataFrame:
 
     Ahead of a distinct over many texts, this leaves its hash tables about half of the rows.
     """
-    return _explode(texts, text, F.array_distinct(word_array(F.col(text)))).drop("pos")
+    words = F.array_distinct(word_array(F.col(text)))
+    return _explode(texts.where(has_words(F.col(text))), words, text).drop("pos")
 
 
-def _explode(texts: DataFrame, text: str, words: Column) -> DataFrame:
+def _explode(texts: DataFrame, words: Column, text: str) -> DataFrame:
     keep = [c for c in texts.columns if c != text]
-    return (
-        texts.where(has_words(F.col(text)))
-        .select(*keep, F.posexplode_outer(words).alias("pos", "word"))
-        # gaps are cut as runs, so an empty word after the first one is the trailing gap
-        .where((F.col("pos") == 0) | (F.col("word") != ""))
-    )
+    cut = texts.select(*keep, F.posexplode_outer(words).alias("pos", "word"))
+    # gaps are cut as runs, so an empty word after the first one is the trailing gap
+    return cut.where((F.coalesce("pos", F.lit(0)) == 0) | (F.col("word") != ""))
 
 
 def classify(words: DataFrame) -> DataFrame:
