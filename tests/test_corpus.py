@@ -1,21 +1,13 @@
-"""Totals of the sample corpus. Set WORDTIDE_CORPUS to its text file to run them."""
-
 from __future__ import annotations
 
 import os
+from collections import Counter
 
-import pytest
-
+from tests.test_functions import cut
 from wordtide import operators as op
 from wordtide import sources as src
 
-CORPUS = os.environ.get("WORDTIDE_CORPUS")
-needs_corpus = pytest.mark.skipif(not CORPUS, reason="WORDTIDE_CORPUS is not set")
-
-# fixed values: length histograms of the sample corpus, every word and distinct words
-LENGTHS = [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 16]
-EVERY_WORD = [1, 67, 184, 228, 228, 124, 82, 66, 37, 23, 18, 9, 10, 8, 1]
-DISTINCT = [1, 8, 23, 48, 92, 77, 59, 48, 30, 22, 15, 7, 8, 8, 1]
+SAMPLE = os.path.join(os.path.dirname(__file__), "sample.txt")
 
 
 def test_files_are_read_whole(spark, tmp_path):
@@ -27,19 +19,45 @@ def test_files_are_read_whole(spark, tmp_path):
     assert got == ["", "four", "one", "three", "two"]
 
 
-@needs_corpus
+def totals(words):
+    """Branches, histogram and summary of a list of words, in plain Python."""
+    long = [w for w in words if len(w) > 3]
+    positive = [w for w in long if ord(w[0]) > 110]
+    branches = (len(long), len(words) - len(long), len(positive), len(long) - len(positive))
+    chars = sum(map(len, words))
+    return branches, sorted(Counter(map(len, words)).items(), key=repr), (len(words), chars)
+
+
+def check(rows, words, expected):
+    branches, lengths, summary = totals(expected)
+    assert rows(op.branch_counts(words)) == [branches]
+    assert rows(op.detail_counts(words)) == lengths
+    assert rows(op.summary_metrics(words), "total_words", "total_chars") == [summary]
+
+
 def test_every_word(spark, rows):
-    words = op.tokenize(src.read_corpus(spark, CORPUS))
-    assert words.where("pos = 0").first()["word"] == ""
-    assert rows(op.summary_metrics(words)) == [(1086, 4627, 4.260589318600369)]
-    assert rows(op.branch_counts(words)) == [(606, 480, 267, 339)]
-    assert rows(op.detail_counts(words)) == sorted(zip(LENGTHS, EVERY_WORD), key=repr)
+    with open(SAMPLE, encoding="utf-8") as file:
+        expected = cut(file.read())
+    assert len(expected) == 98 and expected[0] == ""
+    check(rows, op.tokenize(src.read_corpus(spark, SAMPLE)), expected)
 
 
-@needs_corpus
 def test_distinct_words(spark, rows):
-    words = op.tokenize(src.read_corpus(spark, CORPUS)).selectExpr("'words' key", "word value")
-    distinct = src.ingest_set(words, within=()).withColumnRenamed("value", "word")
-    assert rows(op.summary_metrics(distinct)) == [(447, 2522, 5.642058165548098)]
-    assert rows(op.branch_counts(distinct)) == [(367, 80, 160, 207)]
-    assert rows(op.detail_counts(distinct)) == sorted(zip(LENGTHS, DISTINCT), key=repr)
+    with open(SAMPLE, encoding="utf-8") as file:
+        expected = sorted(set(cut(file.read())))
+    words = op.tokenize(src.read_corpus(spark, SAMPLE)).selectExpr("'words' key", "word value")
+    check(rows, src.ingest_set(words, within=()).withColumnRenamed("value", "word"), expected)
+
+
+def test_numbers_are_unique_over_files_and_feeds(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "b.txt").write_text("three four")
+    (tmp_path / "in" / "a.txt").write_text("one two")
+    (tmp_path / "in" / "blank.txt").write_text(" ")
+    folder = str(tmp_path / "messages")
+    for first in (0, 4):
+        assert src.next_number(spark, folder, "words") == first
+        messages = src.corpus_messages(spark, str(tmp_path / "in"), "words", first)
+        messages.selectExpr("*", "current_timestamp() ts").write.mode("append").parquet(folder)
+    got = spark.read.parquet(folder).orderBy("seq").collect()
+    assert [(r["seq"], r["value"]) for r in got] == list(enumerate(["one", "two", "three", "four"] * 2))

@@ -216,11 +216,11 @@ def test_folders(spark):
 def test_a_cluster_must_name_its_shared_folder():
     def session(master, **conf):
         return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: conf.get("folder", default)),
+            conf=SimpleNamespace(get=lambda key, default="warehouse": conf.get("folder", default)),
             sparkContext=SimpleNamespace(master=master),
         )
 
     assert st.shared_folder(session("yarn", folder="s3://bucket/tmp/")) == "s3://bucket/tmp"
-    assert os.path.isdir(st.shared_folder(session("local[2]")))
+    assert st.shared_folder(session("local[2]")) == "warehouse"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         st.shared_folder(session("yarn"))

@@ -24,14 +24,31 @@ from wordtide import sources as src
 from wordtide import streaming as st
 
 
+def in_arrival_order(messages: DataFrame, struct: str, keys: Sequence[str]) -> DataFrame:
+    """Messages taken in, with ``seq`` as their place in the micro-batch.
+
+    A list is drained in rounds that take a message of each key in turn. A set has no order of its
+    own; its values get one that a repeated batch has again.
+    """
+    if struct == "set":
+        taken = src.ingest_set(messages, within=())
+        return taken.withColumn("seq", F.shiftrightunsigned(F.xxhash64("key", "value"), 1))
+    turn = F.array_position(F.array(*map(F.lit, sorted(keys))), F.col("key"))
+    drained = op.round_robin_drain(messages, within=())
+    place = (F.col("round") - 1) * F.lit(len(keys)) + turn - 1
+    return drained.withColumn("seq", place.cast("bigint")).drop("round")
+
+
 def publish_messages(
-    channels: st.ChannelTable, options: Mapping[str, str] | None = None
+    channels: st.ChannelTable,
+    options: Mapping[str, str] | None = None,
+    keys: Iterable[str] = ("words",),
 ) -> st.BatchFunction:
     """Take in a micro-batch of messages as the ``struct`` option says, and publish its values."""
-    struct = src.structure_of(options)
+    struct, named = src.structure_of(options), list(keys)
 
     def publish(messages: DataFrame, batch_id: int) -> None:
-        taken = src.ingest_set(messages, within=()) if struct == "set" else messages
+        taken = in_arrival_order(messages, struct, named)
         channels.publish(taken.withColumnRenamed("value", "word"), batch_id)
 
     return publish
@@ -47,7 +64,8 @@ def run_job(
     follow: bool = True,
 ) -> StreamingQuery:
     """Start the job; ``follow=False`` processes what is there now and ends."""
-    publish = publish_messages(st.ChannelTable(channels), options)
+    keys = list(keys)
+    publish = publish_messages(st.ChannelTable(channels), options, keys)
     stream = src.stream_messages(spark, messages, keys)
     if follow:
         stream = src.heartbeat_stream(stream)
@@ -56,18 +74,20 @@ def run_job(
 
 def feed(spark: SparkSession, corpus: str, messages: str, key: str = "words") -> None:
     """Append the words of a text file to a folder of messages."""
-    words = src.corpus_messages(spark, corpus, key)
+    words = src.corpus_messages(spark, corpus, key, src.next_number(spark, messages, key))
     words.withColumn("ts", F.current_timestamp()).write.mode("append").parquet(messages)
 
 
 def dashboard(spark: SparkSession, channels: str) -> dict[str, DataFrame]:
     """The dashboard's views of a channel table, by title."""
-    published = st.ChannelTable(channels).read(spark)
+    table = st.ChannelTable(channels)
+    published, newest = table.read(spark), table.newest(spark)
     return {
-        fixed.SUMMARY_TITLE: op.published_summary(published),
-        fixed.FLOW_TITLE: op.published_flow(published),
-        fixed.DETAIL_TITLE: op.published_details(published),
+        fixed.SUMMARY_TITLE: op.published_summary(published, newest=newest),
+        fixed.FLOW_TITLE: op.published_flow(published, newest=newest),
+        fixed.DETAIL_TITLE: op.published_details(published, newest=newest),
         fixed.RAW_TITLE: op.published_recent(published),
+        fixed.OPERATION_TITLE: op.published_operation(published, newest=newest),
     }
 
 

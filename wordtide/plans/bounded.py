@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from wordtide import operators as op
 from wordtide import sources
+from wordtide.fixed import CHANNELS, RAW_MESSAGES
 from wordtide.plans import bindings as b
 from wordtide.sources import ingest, table
 
+METRIC_CHANNELS = [c for c in CHANNELS if c != RAW_MESSAGES]
+UNSUBSCRIBED = "debug-messages"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 BOUNDED: dict[str, Query] = {}
@@ -153,7 +157,8 @@ def zero_filled_envelopes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_envelopes(spark: SparkSession, folder: str) -> DataFrame:
-    return op.channel_envelopes(b.batched_words(spark, folder), ["batch"], b.doc_batch_time())
+    words = b.batched_words(spark, folder, blanks=True)
+    return op.channel_envelopes(words, ["batch"], b.doc_batch_time())
 
 
 def _integer_channels(envelopes: DataFrame) -> DataFrame:
@@ -174,10 +179,14 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def channel_fanout(spark: SparkSession, folder: str) -> DataFrame:
-    published = document_envelopes(spark, folder).select("channel").unionAll(
-        op.raw_messages(b.batched_words(spark, folder)).select("channel")
-    )
-    return op.channel_totals(op.subscribe(published))
+    """Messages per subscribed channel, counted from the profiles; one channel has no subscriber."""
+    profile = op.length_profile(b.batched_words(spark, folder, blanks=True), ["batch"])
+    batches = profile.groupBy("batch").agg(F.sum("n_words").alias("n_words"))
+    once = [*METRIC_CHANNELS, UNSUBSCRIBED]
+    counts = [F.struct(F.lit(c).alias("channel"), F.lit(1).cast("bigint").alias("n")) for c in once]
+    raw = F.struct(F.lit(RAW_MESSAGES).alias("channel"), F.col("n_words").alias("n"))
+    published = batches.select(F.inline(F.array(*counts, raw)))
+    return op.subscribe(published).groupBy("channel").agg(F.sum("n").alias("n_messages"))
 
 
 @query
@@ -232,4 +241,5 @@ def dashboard_recent15(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def operational_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return op.operational_metrics(b.batched_words(spark, folder))
+    metrics = op.operational_metrics(b.batched_words(spark, folder))
+    return metrics.withColumn("batch_end_s", b.batch_end())

@@ -39,6 +39,14 @@ event_words AS (
     FROM events
 )"""
 
+# every batch of documents, also one whose texts have no word
+ALL_WORDS = f"""
+all_words AS (
+    SELECT batch, word FROM (SELECT DISTINCT doc_id // {DOCS_PER_BATCH} AS batch FROM documents)
+    LEFT JOIN words USING (batch)
+)"""
+
+# --- fixed values: the flow graph's nodes and edges, in published order
 EDGES = """
 edges(edge_no, from_node, to_node, branch) AS (VALUES
     (1, 'Source Stream', 'Long Words', 'long'),
@@ -103,7 +111,8 @@ SELECT b.batch, 'detail-metrics',
 FROM b LEFT JOIN details USING (batch) GROUP BY b.batch"""
 
 _DOC_ENVELOPES = (
-    f"WITH {WORDS}, {EDGES}, b AS (SELECT batch, {_COUNTS} FROM words GROUP BY batch),"
+    f"WITH {WORDS}, {ALL_WORDS}, {EDGES}, "
+    f"b AS (SELECT batch, {_COUNTS} FROM all_words GROUP BY batch),"
     + _ENVELOPES.format(edge_count=_EDGE_COUNT, words="words", batch="batch")
 )
 
@@ -128,7 +137,8 @@ _LATEST_SUMMARY = f"""WITH {WORDS}, {_LATEST}, t AS (
         SELECT count(word) AS n, CAST(coalesce(sum(length(word)), 0) AS BIGINT) AS chars, batch
         FROM latest LEFT JOIN words USING (batch) GROUP BY batch)
     SELECT n AS total_words, chars AS total_chars, batch AS last_batch,
-        CASE WHEN n = 0 THEN 0 ELSE (200 * chars + n) // (2 * n) END AS avg_hundredths FROM t"""
+        CASE WHEN n = 0 THEN 0 ELSE (200 * chars + n) // (2 * n) END AS avg_hundredths,
+        printf('%d.%02d', avg_hundredths // 100, avg_hundredths % 100) AS avg_shown FROM t"""
 
 _LATEST_DETAILS = f"""WITH {WORDS}, {_LATEST}
     SELECT CAST(length(word) AS INTEGER) AS "wordLength", count(*) AS cnt
@@ -175,12 +185,17 @@ ORACLE: dict[str, str] = {
     ),
     "channel_envelopes": _DOC_ENVELOPES,
     "raw_messages": _RAW,
-    "channel_fanout": f"""WITH {WORDS}, n AS (SELECT count(DISTINCT batch) AS n FROM words)
+    "channel_fanout": f"""WITH {WORDS}, {ALL_WORDS},
+        n AS (SELECT count(DISTINCT batch) AS n FROM all_words)
         SELECT channel, n AS n_messages FROM n,
             (VALUES ('stream-transitions'), ('summary-metrics'), ('detail-metrics')) c(channel)
         UNION ALL SELECT 'raw-messages', count(*) FROM words""",
-    "parse_transitions": _FLOW_BY_BATCH,
-    "parse_summaries": _SUMMARY_BY_BATCH,
+    "parse_transitions": f"""WITH {WORDS}, {ALL_WORDS}, {EDGES},
+        b AS (SELECT batch, {_COUNTS} FROM all_words GROUP BY batch)
+        SELECT batch, edge_no, from_node, to_node, {_EDGE_COUNT} AS cnt FROM b, edges""",
+    "parse_summaries": f"""WITH {WORDS}, {ALL_WORDS}
+        SELECT batch, {_SUMMARY}, {DOCS_PER_BATCH} * batch + {DOCS_PER_BATCH} AS batch_end_s
+        FROM all_words GROUP BY batch""",
     "parse_details": _DETAIL_BY_BATCH,
     "dashboard_summary": _LATEST_SUMMARY,
     "dashboard_flow": f"""WITH {EVENT_WORDS}, {EDGES}, b AS (
@@ -191,15 +206,17 @@ ORACLE: dict[str, str] = {
     "dashboard_detail_top10": _LATEST_DETAILS,
     "dashboard_recent15": _RECENT,
     "published_summary": _LATEST_SUMMARY,
-    "published_flow": f"""WITH {WORDS}, {EDGES}, b AS (
-            SELECT {_COUNTS} FROM words WHERE batch = (SELECT max(batch) FROM words))
+    "published_flow": f"""WITH {WORDS}, {_LATEST}, {EDGES}, b AS (
+            SELECT {_COUNTS} FROM words WHERE batch = (SELECT batch FROM latest))
         SELECT from_node AS "From", to_node AS "To", greatest({_EDGE_COUNT}, 1) AS "Weight"
         FROM b, edges""",
     "published_detail_top10": _LATEST_DETAILS,
+    "published_recent15": _RECENT,
     "operational_metrics": f"""WITH {WORDS}
         SELECT batch, count(*) AS n_messages,
             count(*)::DOUBLE / {float(DOCS_PER_BATCH)}::DOUBLE AS msgs_per_s,
-            {DOCS_PER_BATCH * 1000} AS interval_ms
+            {DOCS_PER_BATCH * 1000} AS interval_ms,
+            {DOCS_PER_BATCH} * batch + {DOCS_PER_BATCH} AS batch_end_s
         FROM words GROUP BY batch""",
     "stream_transitions_available_now": _FLOW_BY_BATCH,
     "stream_summary_available_now": _SUMMARY_BY_BATCH,

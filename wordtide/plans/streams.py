@@ -52,7 +52,7 @@ def stream_detail_available_now(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_envelopes_available_now(spark: SparkSession, folder: str) -> DataFrame:
-    profiles = _profiles(b.batched_word_stream(spark, folder), "envelopes")
+    profiles = _profiles(b.batched_word_stream(spark, folder, blanks=True), "envelopes")
     envelopes = op.channel_envelopes(profiles, ["batch"], b.doc_batch_time())
     return op.subscribe(envelopes, ["stream-transitions", "detail-metrics"])
 
@@ -69,7 +69,8 @@ def stream_set_ingest_available_now(spark: SparkSession, folder: str) -> DataFra
     run = st.run_folder(spark, "sets")
     kept = st.EpochTable(f"{run}/sets", "batch bigint, key string, value string")
     messages = b.value_messages(b.document_stream(spark, folder))
-    st.finish(st.start(messages, st.keep_sets(kept), f"{run}/checkpoint"))
+    # each text has dropped its own repetitions; one distinct over all is the only shuffle
+    st.finish(st.start(messages, st.keep_rows(kept), f"{run}/checkpoint"))
     return kept.read(spark).select("batch", "key", "value").distinct()
 
 
@@ -107,11 +108,17 @@ def stream_raw_messages_available_now(spark: SparkSession, folder: str) -> DataF
     return spark.read.schema(schema).parquet(f"{run}/raw")
 
 
-def _published(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def _published(spark: SparkSession, folder: str, name: str, raw: bool = False) -> DataFrame:
     """The messages of all document batches, published to a table and read from it."""
     path = f"{st.run_folder(spark, name)}/channels"
-    document_envelopes(spark, folder).write.partitionBy("channel").parquet(path)
-    return spark.read.schema("batch bigint, message string, channel string").parquet(path)
+    envelopes = document_envelopes(spark, folder)
+    envelopes.withColumn("seq", F.lit(None).cast("bigint")).write.partitionBy("channel").parquet(path)
+    if raw:
+        words = b.batched_words(spark, folder).withColumn("seq", b.raw_order())
+        messages = op.raw_messages(words, "batch", "seq")
+        messages.write.mode("append").partitionBy("channel").parquet(path)
+    schema = "batch bigint, message string, seq bigint, channel string"
+    return spark.read.schema(schema).parquet(path)
 
 
 @query
@@ -128,3 +135,8 @@ def published_flow(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def published_detail_top10(spark: SparkSession, folder: str) -> DataFrame:
     return op.published_details(_published(spark, folder, "published-details"), "batch")
+
+
+@query
+def published_recent15(spark: SparkSession, folder: str) -> DataFrame:
+    return op.published_recent(_published(spark, folder, "published-recent", raw=True), "batch")

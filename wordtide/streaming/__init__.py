@@ -6,6 +6,7 @@ from wordtide.streaming.runs import (
     echo,
     finish,
     keep_profiles,
+    keep_rows,
     keep_sets,
     publish_channels,
     publish_raw,
@@ -24,6 +25,7 @@ __all__ = [
     "echo",
     "finish",
     "keep_profiles",
+    "keep_rows",
     "keep_sets",
     "profile_table",
     "publish_channels",

@@ -42,6 +42,11 @@ def keep_sets(table: EpochTable, within: Sequence[str] = ("batch",)) -> BatchFun
     return keep
 
 
+def keep_rows(table: EpochTable) -> BatchFunction:
+    """Keep the rows of every micro-batch as they come."""
+    return table.write
+
+
 def _triggered(writer: DataStreamWriter, checkpoint: str, follow: bool) -> DataStreamWriter:
     writer = writer.option("checkpointLocation", checkpoint)
     if follow:

@@ -50,7 +50,8 @@ def profile_table(path: str, by: str) -> EpochTable:
 class ChannelTable:
     """The published messages: (batch_id, channel, seq, message), in folders by the first two.
 
-    Subscribers read it as often and as late as they like.
+    Subscribers read it as often and as late as they like. The table keeps every batch. Folders of
+    batches that nobody reads any more may be removed, oldest first, at any time.
     """
 
     path: str
@@ -80,6 +81,17 @@ class ChannelTable:
             .partitionBy("channel")
             .parquet(batch)
         )
+        newest = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"))
+        newest.write.mode("overwrite").parquet(self._newest)
+
+    @property
+    def _newest(self) -> str:
+        return f"{self.path.rstrip('/')}-newest"
+
+    def newest(self, spark: SparkSession) -> int | None:
+        """The batch published last: one row beside the table, written after the batch itself."""
+        found = _read(spark, self._newest, "batch_id bigint").first()
+        return found and found["batch_id"]
 
     def read(self, spark: SparkSession, channels: Iterable[str] = CHANNELS) -> DataFrame:
         return subscribe(_read(spark, self.path, self.SCHEMA), channels)
