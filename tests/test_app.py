@@ -66,10 +66,11 @@ def test_commands(spark, tmp_path, capsys):
     app.main(["feed", "--corpus", str(tmp_path / "c.txt"), "--messages", messages])
     app.main(
         ["run", "--messages", messages, "--channels", channels, "--checkpoint",
-         str(tmp_path / "ck"), "--struct", "set", "--once"]
+         str(tmp_path / "ck"), "--struct", "set", "--once", "--echo"]
     )
     app.main(["show", "--channels", channels])
     shown = capsys.readouterr().out
+    assert '0 summary-metrics {"totalWords":' in shown
     assert "Latest batch" in shown and "aardvark" in shown
     stream = spark.readStream.schema("key string, value string, seq bigint").parquet(messages)
     st.finish(st.echo(stream, str(tmp_path / "ck2")))

@@ -224,3 +224,23 @@ def test_a_cluster_must_name_its_shared_folder():
     assert st.shared_folder(session("local[2]")) == "warehouse"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         st.shared_folder(session("yarn"))
+
+
+def test_a_batch_published_again_is_delivered_once(spark, words, tmp_path):
+    table = st.ChannelTable(str(tmp_path / "channels"))
+    got = []
+
+    def deliver(messages, epoch):
+        got.extend((r["batch_id"], r["message"]) for r in messages.collect())
+
+    def listen():
+        query = st.subscribe_live(spark, table, deliver, str(tmp_path / "ck"), ["raw-messages"])
+        st.finish(query)
+
+    table.publish(words("one"), 0)
+    table.publish(words("two"), 1)
+    listen()
+    table.publish(words("two"), 1)  # again after a failure
+    table.publish(words("three"), 2)
+    listen()
+    assert sorted(got) == [(0, "one"), (1, "two"), (2, "three")]

@@ -1,11 +1,12 @@
 """The job: keyed messages in, words classified and counted every interval, channels out.
 
     python -m wordtide.app run  --messages DIR --channels DIR --checkpoint DIR
-                                [--keys words,...] [--struct list|set] [--once]
+                                [--keys words,...] [--struct list|set] [--once] [--echo]
     python -m wordtide.app feed --corpus FILE --messages DIR [--key words]
     python -m wordtide.app show --channels DIR
 
 ``run`` follows the folder of message files and publishes every micro-batch, idle ones included.
+With ``--echo`` the metric messages are printed at the end of a run with ``--once``.
 ``feed`` appends the words of a text to that folder. ``show`` prints the dashboard views.
 """
 
@@ -101,6 +102,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     run.add_argument("--keys", default="words")
     run.add_argument("--struct", default="list")
     run.add_argument("--once", action="store_true")
+    run.add_argument("--echo", action="store_true")
     load = commands.add_parser("feed")
     load.add_argument("--corpus", required=True)
     load.add_argument("--messages", required=True)
@@ -120,6 +122,14 @@ def main(arguments: Sequence[str] | None = None) -> None:
             {"struct": given.struct},
             follow=not given.once,
         )
+        if given.once:
+            st.finish(query)
+        if given.echo:
+            table = st.ChannelTable(given.channels)
+            told = f"{given.checkpoint.rstrip('/')}-echo"
+            st.finish(
+                st.subscribe_live(spark, table, st.echo_metrics, told, follow=not given.once)
+            )
         st.finish(query)
     elif given.command == "feed":
         feed(spark, given.corpus, given.messages, given.key)

@@ -56,7 +56,10 @@ def raw_order() -> F.Column:
 
 def conversation_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns as messages (batch, key, seq, value), keyed by role."""
-    turns = table(spark, folder, "conversations")
+    return turn_messages(table(spark, folder, "conversations"))
+
+
+def turn_messages(turns: DataFrame) -> DataFrame:
     return turns.select(
         batch_of(F.col("conv_id"), CONVERSATIONS_PER_BATCH).alias("batch"),
         F.col("role").alias("key"),

@@ -227,4 +227,9 @@ ORACLE: dict[str, str] = {
     "stream_channels_available_now": _FLOW,
     "stream_channel_details_available_now": _DETAIL,
     "stream_raw_messages_available_now": _RAW,
+    "stream_fanout_available_now": f"""WITH {WORDS}
+        SELECT count(*) AS n_raw, count(*) AS n_summed, count(*) AS n_flow FROM words""",
+    "stream_drain_available_now": f"""WITH {_MESSAGES} SELECT batch, key, seq,
+        row_number() OVER (PARTITION BY batch, key ORDER BY seq) AS round FROM messages
+        WHERE key IS NOT NULL""",
 }

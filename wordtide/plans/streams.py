@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wordtide import operators as op
 from wordtide import streaming as st
+from wordtide.fixed import RAW_MESSAGES, STREAM_TRANSITIONS, SUMMARY_METRICS
 from wordtide.plans import bindings as b
 from wordtide.plans.bounded import Query, document_envelopes
 from wordtide.sources import stream_table
@@ -64,6 +65,16 @@ def stream_zero_filled_available_now(spark: SparkSession, folder: str) -> DataFr
     return op.flow_transitions(filled, ["batch"]).withColumnRenamed("batch", "batch_no")
 
 
+@query
+def stream_drain_available_now(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversation turns through a stream, then drained: the places are those of the whole batch."""
+    run = st.run_folder(spark, "drain")
+    kept = st.EpochTable(f"{run}/turns", "batch bigint, key string, seq bigint")
+    turns = b.turn_messages(stream_table(spark, folder, "conversations")).drop("value")
+    st.finish(st.start(turns.where("key IS NOT NULL"), st.keep_rows(kept), f"{run}/checkpoint"))
+    return op.round_robin_drain(kept.read(spark).drop("epoch"))
+
+
 @query
 def stream_set_ingest_available_now(spark: SparkSession, folder: str) -> DataFrame:
     run = st.run_folder(spark, "sets")
@@ -99,6 +110,26 @@ def stream_channel_details_available_now(spark: SparkSession, folder: str) -> Da
     return details.groupBy("word_length").agg(F.sum("cnt").alias("cnt"))
 
 
+@query
+def stream_fanout_available_now(spark: SparkSession, folder: str) -> DataFrame:
+    """Words as a live subscriber of three channels gets them: raw, summed up, and in the flow."""
+    channels = _channels(spark, folder, "fanout")
+    got = st.EpochTable(f"{channels.path}-got", "n_raw bigint, n_summed bigint, n_flow bigint")
+
+    def deliver(messages: DataFrame, epoch: int) -> None:
+        raw = op.subscribe(messages, [RAW_MESSAGES]).select(F.lit(1).alias("n_raw"))
+        summed = op.parse_summaries(messages).select(F.col("total_words").alias("n_summed"))
+        first = op.parse_transitions(messages).where("edge_no <= 2")
+        flow = first.select(F.col("cnt").alias("n_flow"))
+        every = raw.unionByName(summed, True).unionByName(flow, True)
+        got.write(every.agg(*(F.sum(c).alias(c) for c in every.columns)), epoch)
+
+    named = [RAW_MESSAGES, SUMMARY_METRICS, STREAM_TRANSITIONS]
+    told = f"{channels.path}-subscriber"
+    st.finish(st.subscribe_live(spark, channels, deliver, told, named))
+    return got.read(spark).agg(*(F.sum(c).alias(c) for c in ("n_raw", "n_summed", "n_flow")))
+
+
 @query
 def stream_raw_messages_available_now(spark: SparkSession, folder: str) -> DataFrame:
     run = st.run_folder(spark, "raw")

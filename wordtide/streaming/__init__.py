@@ -4,6 +4,7 @@ from wordtide.streaming.folders import run_folder, shared_folder
 from wordtide.streaming.runs import (
     BatchFunction,
     echo,
+    echo_metrics,
     finish,
     keep_profiles,
     keep_rows,
@@ -11,6 +12,7 @@ from wordtide.streaming.runs import (
     publish_channels,
     publish_raw,
     start,
+    subscribe_live,
 )
 from wordtide.streaming.tables import (
     ChannelTable,
@@ -23,6 +25,7 @@ __all__ = [
     "ChannelTable",
     "EpochTable",
     "echo",
+    "echo_metrics",
     "finish",
     "keep_profiles",
     "keep_rows",
@@ -33,4 +36,5 @@ __all__ = [
     "run_folder",
     "shared_folder",
     "start",
+    "subscribe_live",
 ]

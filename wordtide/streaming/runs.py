@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from wordtide.fixed import BATCH_SECONDS
+from wordtide.fixed import BATCH_SECONDS, CHANNELS, RAW_MESSAGES
 from wordtide.operators import length_profile, raw_messages
 from wordtide.sources import ingest_set
 from wordtide.streaming.tables import ChannelTable, EpochTable
@@ -65,6 +66,30 @@ def start(
     return _triggered(stream.writeStream.foreachBatch(batch_function), checkpoint, follow).start()
 
 
+def subscribe_live(
+    spark: SparkSession,
+    table: ChannelTable,
+    deliver: BatchFunction,
+    checkpoint: str,
+    channels: Iterable[str] = CHANNELS,
+    follow: bool = False,
+) -> StreamingQuery:
+    """Hand the messages of the named channels to a subscriber, batch by batch as they are published.
+
+    A batch is announced once, when it is complete, so one that is published again after a failure
+    is not delivered again. A subscriber of its own checkpoint goes on where it stopped; any number
+    of them read the same table. ``deliver`` may be called again with the same number after a
+    failure of its own, over the same batches.
+    """
+    named = list(channels)
+
+    def hand_over(announced: DataFrame, epoch: int) -> None:
+        messages = table.read(announced.sparkSession, named)
+        deliver(messages.join(announced, "batch_id", "left_semi"), epoch)
+
+    return start(table.announcements(spark), hand_over, checkpoint, follow)
+
+
 def publish_raw(
     words: DataFrame, path: str, checkpoint: str, *keep: str, follow: bool = False
 ) -> StreamingQuery:
@@ -78,6 +103,13 @@ def echo(stream: DataFrame, checkpoint: str, follow: bool = False) -> StreamingQ
     return _triggered(stream.writeStream.format("console"), checkpoint, follow).start()
 
 
+def echo_metrics(messages: DataFrame, epoch: int) -> None:
+    """Print the metric messages of the delivered batches in full: three for each."""
+    metrics = messages.where(F.col("channel") != RAW_MESSAGES)
+    for row in metrics.orderBy("batch_id", "channel").toLocalIterator():
+        print(f"{row['batch_id']} {row['channel']} {row['message']}")
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a stream over what is there now; its error, if any, is raised here."""
     query.awaitTermination()

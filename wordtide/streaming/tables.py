@@ -81,17 +81,24 @@ class ChannelTable:
             .partitionBy("channel")
             .parquet(batch)
         )
-        newest = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"))
-        newest.write.mode("overwrite").parquet(self._newest)
+        row = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("published"))
+        row.write.mode("overwrite").parquet(self._beside("newest"))
+        # a batch that is published again is not announced again
+        row.write.mode("ignore").parquet(f"{self._beside('announced')}/batch_id={batch_id}")
 
-    @property
-    def _newest(self) -> str:
-        return f"{self.path.rstrip('/')}-newest"
+    def _beside(self, name: str) -> str:
+        return f"{self.path.rstrip('/')}-{name}"
 
     def newest(self, spark: SparkSession) -> int | None:
         """The batch published last: one row beside the table, written after the batch itself."""
-        found = _read(spark, self._newest, "batch_id bigint").first()
-        return found and found["batch_id"]
+        found = _read(spark, self._beside("newest"), "published bigint").first()
+        return found and found["published"]
+
+    def announcements(self, spark: SparkSession) -> DataFrame:
+        """The numbers of published batches, as a stream: each once, after all of it is written."""
+        schema = "published bigint, batch_id bigint"
+        stream = spark.readStream.schema(schema).parquet(self._beside("announced"))
+        return stream.select("batch_id")
 
     def read(self, spark: SparkSession, channels: Iterable[str] = CHANNELS) -> DataFrame:
         return subscribe(_read(spark, self.path, self.SCHEMA), channels)
