@@ -131,7 +131,7 @@ def _compare(percent: int, rows: int):
     is looked at in the first band that the two share.
     """
     cut = _least_agreement(percent)
-    names = ("band", "node", "component", "side", "n", "minima", "shingles")
+    names = ("band", "node", "component", "side", "n", "minima")
 
     def links(block: list[tuple]) -> Iterator[tuple[int, int]]:
         block = list({(r[1], r[3]): r for r in block}.values())
@@ -150,13 +150,12 @@ def _compare(percent: int, rows: int):
                 continue
             same = m[fits] == np.frombuffer(x[5], np.uint16)
             first = same.reshape(len(fits), -1, rows).all(axis=2).argmax(axis=1)
-            own = set(x[6])
             for i in fits[(first == band) & (same.mean(axis=1) >= cut)]:
                 y = every[i]
                 p, q = _find(parent, x[2]), _find(parent, y[2])
                 if p == q:
                     continue
-                shared = sum(map(own.__contains__, y[6]))
+                shared = len(np.intersect1d(x[6], y[6], assume_unique=True))
                 if 100 * shared >= percent * (x[4] + y[4] - shared):
                     parent[max(p, q)] = min(p, q)
                     yield x[1], y[1]
@@ -169,12 +168,14 @@ def _compare(percent: int, rows: int):
         for batch in batches:
             keys = list(zip(*(batch.column(c).to_pylist() for c in ("key", "p", "q")), strict=True))
             columns = [batch.column(c).to_pylist() for c in names]
+            sets = batch.column("shingles")
+            values, ends = sets.flatten().to_numpy(), np.concatenate(([0], np.cumsum(sets.value_lengths().to_numpy())))
             for i, key in enumerate(keys):
                 if key != at:
                     if block:
                         yield out(links(block))
                     block, at = [], key
-                block.append(tuple(c[i] for c in columns))
+                block.append((*(c[i] for c in columns), values[ends[i] : ends[i + 1]].copy()))
         if block:
             yield out(links(block))
 
