@@ -176,6 +176,7 @@ def _compare(percent: int, rows: int):
                         yield out(links(block))
                     block, at = [], key
                 block.append((*(c[i] for c in columns), values[ends[i] : ends[i + 1]].copy()))
+            tx.release()
         if block:
             yield out(links(block))
 

@@ -48,13 +48,23 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, offsets) for runs of whole texts of about ``size`` bytes."""
+    """(first row, last row + 1, bytes, offsets) for runs of whole texts of about ``size`` bytes.
+
+    Once through, what Arrow keeps of earlier batches goes back to the system: workers live on, and
+    would hold the memory of the largest batch of every operator that they have served.
+    """
     data, offsets = flat(column)
     low, n = 0, len(column)
     while low < n:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1)
         yield low, high, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
+    release()
+
+
+def release() -> None:
+    """Give freed Arrow memory back."""
+    pa.default_memory_pool().release_unused()
 
 
 def ascii_lower(data: np.ndarray) -> np.ndarray:
