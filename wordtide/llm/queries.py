@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm import ann, counts, decontaminate, lang, lines, lm, near, pieces, toxic, urls
+from wordtide.llm import ann, counts, decontaminate, lang, lines, lm, near, phrases, pieces, sharding, spelling, toxic, urls
 from wordtide.llm.store import table
 
 URL_RULES = [
@@ -94,6 +94,18 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.url_filter(table(spark, folder, "pages").select("page_id", "url"), rules)
 
 
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, folder, "documents").select("doc_id", "text"), shards=8)
+
+
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
 QUERIES = {
     "op1_nearest_neighbours": nearest_vectors,
     "op2_token_counts": token_counts,
@@ -105,4 +117,7 @@ QUERIES = {
     "op8_minhash_near_dedup": near_dedup,
     "op9_toxicity": toxicity,
     "op10_url_filters": url_filters,
+    "op11_spelling_variants": spelling_variants,
+    "op12_sharding": shards,
+    "op13_phrase_collocations": phrase_collocations,
 }

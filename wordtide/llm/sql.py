@@ -42,7 +42,47 @@ SELECT split.page_id, host, path, rule, coalesce(v, 'allow') AS verdict
 FROM split LEFT JOIN fits ON split.page_id = fits.page_id AND n = 1
 """
 
+PHRASES = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(text, '{_UP}', '{_LOW}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), cut AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut
+), grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM starts, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(w)
+), counted AS (
+  SELECT lang, phrase, k AS size, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+), words AS (
+  SELECT lang, sum(len(w)) AS n FROM cut GROUP BY lang
+), cuts AS (
+  SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM counted WHERE size > 1
+), scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN (SELECT lang, phrase, f FROM counted) y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+), lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o
+                 FROM scored) WHERE o = 1
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT lang, f, size, w, k, unnest(range(1, size - k + 2)) AS i
+        FROM (SELECT lang, f, size, string_split(phrase, ' ') AS w, unnest(range(2, size)) AS k FROM counted WHERE size > 2))
+  GROUP BY ALL
+), ranked AS (
+  SELECT lang, phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN words USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op7_line_dedup": LINE_DEDUP,
     "op10_url_filters": URL_FILTERS,
+    "op13_phrase_collocations": PHRASES,
 }
