@@ -109,7 +109,7 @@ def propagate(linked: DataFrame, shards: int, quota: int, rounds: int = ROUNDS)
     """
     spark = linked.sparkSession
     nodes = linked.withColumn("shard", F.pmod(F.xxhash64("row", F.lit("shard")), F.lit(shards)).cast("int"))
-    columns, closed, idle = nodes.columns, [], 0
+    columns, closed = nodes.columns, []
     for _ in range(rounds):
         moves = written(_moves(nodes, closed, quota // 8), "shard-moves")
         loads = [0] * shards
@@ -117,16 +117,17 @@ def propagate(linked: DataFrame, shards: int, quota: int, rounds: int = ROUNDS)
             loads[shard] = size
         wanted = moves.filter("dest IS NOT NULL").groupBy("shard", "dest", "scale", "bundle").agg(F.sum("size")).collect()
         taken = _accepted(wanted, loads, quota)
-        full = [i for i in range(shards) if loads[i] + max(1, quota // 256) > quota]
+        full = {i for i in range(shards) if loads[i] + max(1, quota // 256) > quota}
         if taken:
             went = spark.createDataFrame(taken, "shard int, dest int, scale int, bundle long").withColumn("went", F.lit(True))
-            nodes = moves.join(went, ["shard", "dest", "scale", "bundle"], "left").withColumn("shard", F.when(F.col("went"), F.col("dest")).otherwise(F.col("shard"))).select(columns)
+            moved = F.when(F.col("went"), F.col("dest")).otherwise(F.col("shard"))
+            nodes = moves.join(went, ["shard", "dest", "scale", "bundle"], "left").withColumn("shard", moved).select(columns)
         else:
             nodes = moves.select(columns)
-            if full == closed or idle:
+            full |= {w[1] for w in wanted} | set(closed)
+            if not wanted or len(full) == shards:
                 break
-        idle = 0 if taken else idle + 1
-        closed = full if len(full) < shards else []
+        closed = sorted(full) if len(full) < shards else []
     return nodes
 
 
