@@ -143,7 +143,7 @@ class Trie:
 
     def runs(self, parts: int) -> Iterator[pa.RecordBatch]:
         """All subtrees as sorted runs, one for each language and part: see ``RUN``."""
-        names = pa.array(self.names, pa.large_binary())
+        names = pa.array([w + b" " for w in self.names], pa.large_binary())
         rank = np.zeros(len(names), np.int64)
         rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))  # the empty name, of no word, comes first
         sizes = np.array([len(w) for w in self.names])
@@ -158,12 +158,16 @@ class Trie:
                 yield from _runs(lang, prefix[mine], rest[mine], count[mine], names, rank, hashes, parts)
 
 
-RUN = "part int, lang string, words string, depths binary, counts binary"
+# ``nodes``: compressed, the words of a subtree joined by spaces, their depths, and their counts.
+RUN = "part int, lang string, n_nodes int, n_bytes int, nodes binary"
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
 def _runs(lang, prefix, rest, count, names, rank, hashes, parts) -> Iterator[pa.RecordBatch]:
     words = [prefix >> WORD_BITS & _MASK, prefix & _MASK, rest >> WORD_BITS, rest & _MASK]
-    key = hashes[words[0]] * _K[0] + hashes[words[1]] * _K[1] + (mix(hashes[words[2]]) % _U(SALTS)) * _K[2]
+    second, third = hashes[words[1]], mix(hashes[words[2]]) % _U(SALTS)
+    second = np.where(words[2] > 0, second, mix(second) % _U(SALTS))
+    key = hashes[words[0]] * _K[0] + second * _K[1] + third * _K[2]
     part = (mix(key) % _U(parts)).astype(np.int64)
     ranks = [rank[w] for w in words]
     order = np.lexsort((ranks[2] << WORD_BITS | ranks[3], ranks[0] << WORD_BITS | ranks[1], part))
@@ -185,21 +189,21 @@ def _runs(lang, prefix, rest, count, names, rank, hashes, parts) -> Iterator[pa.
     word = np.choose(level, [w[at] for w in words])
     cuts = np.flatnonzero(new)
     edges = np.concatenate((begin[cuts], [len(at)]))
-    listed = pa.LargeListArray.from_arrays(pa.array(edges, pa.int64()), names.take(pa.array(word)).cast(pa.large_string()))
+    text, places = flat_binary(names.take(pa.array(word)))
+    depths, counts = level.astype(np.uint8), counts.astype("<i4").view(np.uint8)
+    packed = []
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        raw = b"".join((text[places[a] : places[b]], depths[a:b], counts[4 * a : 4 * b]))
+        packed.append((len(raw), _CODEC.compress(raw, asbytes=True)))
     yield pa.RecordBatch.from_arrays(
         [
-            pa.array(part[cuts], pa.int32()), pa.array([lang] * len(cuts), pa.string()),
-            pc.binary_join(listed, pa.scalar(" ", pa.large_string())).cast(pa.string()),
-            _binary(level.astype(np.uint8), edges), _binary(counts.astype("<i8").view(np.uint8), edges * 8),
+            pa.array(part[cuts], pa.int32()), pa.array([lang] * len(cuts), pa.string()), pa.array(np.diff(edges), pa.int32()),
+            pa.array([n for n, _ in packed], pa.int32()), pa.array([x for _, x in packed], pa.binary()),
         ],
-        names=["part", "lang", "words", "depths", "counts"],
+        names=["part", "lang", "n_nodes", "n_bytes", "nodes"],
     )
 
 
-def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
-
-
 def _slices(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(texts ahead, bytes, offsets): the block itself, or a long text cut between pieces."""
     if len(data) <= 2 * size:
@@ -258,35 +262,62 @@ def count_runs(texts: DataFrame, parts: int) -> DataFrame:
     return texts.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(spill, RUN)
 
 
+def _grouped(keys: list[np.ndarray], count: np.ndarray) -> list[np.ndarray]:
+    """Equal keys as one row, with the sum of their counts. Rows are sorted by a hash, or by the keys if hashes clash."""
+    order = np.argsort(mix(keys[0].view(_U) * _K[2] + keys[1].view(_U) * _K[0] ^ mix(keys[2].view(_U) * _K[1])))
+    while len(order):
+        sorted_ = [k[order] for k in keys]
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([k[1:] != k[:-1] for k in sorted_], axis=0)
+        hashes = mix(sorted_[0].view(_U) * _K[2] + sorted_[1].view(_U) * _K[0] ^ mix(sorted_[2].view(_U) * _K[1]))
+        if np.any(new[1:] & (hashes[1:] == hashes[:-1])):
+            exact = np.lexsort(keys)
+            if not np.array_equal(exact, order):
+                order = exact
+                continue
+        at = np.flatnonzero(new)
+        return [*(k[at] for k in sorted_), np.add.reduceat(count[order], at)]
+    return [*keys, count]
+
+
 class Merger:
     """The counts of one part, from runs of any number of tasks. What it keeps grows with distinct phrases alone."""
 
     def __init__(self) -> None:
-        self.words, self.langs, self.held = {}, {}, None
+        self.names, self.words, self.langs, self.held = None, None, {}, None
 
-    def add(self, rows: pa.RecordBatch) -> None:
-        langs, words, depths, counts = rows.column(1), rows.column(2), rows.column(3), rows.column(4)
-        level, bounds = flat_binary(depths)
-        count = flat_binary(counts)[0].view("<i8")
-        coded = pc.split_pattern(words, " ").flatten().dictionary_encode()
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """Numbers from 1 of the words; those of the first runs are in the order of their dictionary."""
+        coded = words.dictionary_encode()
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        if self.names is None:
+            self.names = coded.dictionary
+            return at.astype(np.int64) + 1
+        if self.words is None:
+            self.words = {w: i for i, w in enumerate(self.names.to_pylist(), 1)}
         known = np.array([self.words.setdefault(w, len(self.words) + 1) for w in coded.dictionary.to_pylist()], np.int64)
-        word = known[coded.indices.to_numpy(zero_copy_only=False)]
+        return known[at]
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        langs, sizes, raw = rows.column(1), rows.column(2).to_pylist(), []
+        for n, size, nodes in zip(sizes, rows.column(3).to_pylist(), rows.column(4), strict=True):
+            data = _CODEC.decompress(nodes.as_buffer(), size, asbytes=True)
+            raw.append((data[: -5 * n - 1], data[-5 * n : -4 * n], data[-4 * n :]))
+        words, depths, counts = zip(*raw, strict=True)
+        level, count = np.frombuffer(b"".join(depths), np.uint8), np.frombuffer(b"".join(counts), "<i4").astype(np.int64)
+        joined = pa.array([b" ".join(words)], pa.large_binary()).cast(pa.large_string())
+        word = self._numbers(pc.split_pattern(joined, " ").flatten())
         place = np.arange(len(word))
         path = []
         for k in range(LONGEST):
             last = np.maximum.accumulate(np.where(level == k, place, 0))
             path.append(np.where(level >= k, word[last], 0))
-        lang = np.repeat([self.langs.setdefault(x, len(self.langs)) for x in langs.to_pylist()], np.diff(bounds))
+        lang = np.repeat(np.array([self.langs.setdefault(x, len(self.langs)) for x in langs.to_pylist()], np.int64), sizes)
         used = count > 0
         fresh = [lang[used], (path[0] << 32 | path[1])[used], (path[2] << 32 | path[3])[used], count[used]]
         if self.held is not None:
             fresh = [np.concatenate(x) for x in zip(self.held, fresh, strict=True)]
-        order = np.lexsort((fresh[2], fresh[1], fresh[0]))
-        fresh = [x[order] for x in fresh]
-        new = np.ones(len(order), bool)
-        new[1:] = np.any([x[1:] != x[:-1] for x in fresh[:3]], axis=0)
-        at = np.flatnonzero(new)
-        self.held = [*(x[at] for x in fresh[:3]), np.add.reduceat(fresh[3], at) if len(at) else fresh[3]]
+        self.held = _grouped(fresh[:3], fresh[3])
 
     def rows(self, least: int) -> pa.RecordBatch:
         """(lang, phrase, size, f) of phrases with ``least`` occurrences; with size 0, those of all words."""
@@ -296,8 +327,11 @@ class Merger:
         np.add.at(totals, lang[single], n[single])
         enough = n >= least
         ids = np.stack([a[enough] >> 32, a[enough] & 0xFFFFFFFF, b[enough] >> 32, b[enough] & 0xFFFFFFFF], axis=1)
-        names, langs = ["", *self.words], list(self.langs)
-        phrases = [" ".join(names[i] for i in row if i) for row in ids.tolist()]
+        names = self.names if self.words is None else pa.array(list(self.words), pa.large_string())
+        used, at = np.unique(ids, return_inverse=True)
+        texts = dict(enumerate(names.take(pa.array(used[used > 0] - 1)).to_pylist(), int(len(used) > 0 and used[0] == 0)))
+        phrases = [" ".join(texts[j] for i, j in zip(row, places, strict=True) if i) for row, places in zip(ids.tolist(), at.reshape(ids.shape).tolist(), strict=True)]
+        langs = list(self.langs)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([langs[i] for i in lang[enough].tolist()] + langs, pa.string()),
@@ -310,7 +344,7 @@ class Merger:
 
 
 def flat_binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return flat(pa.Array.from_buffers(pa.large_string() if pa.types.is_large_binary(column.type) else pa.string(), len(column), column.buffers(), offset=column.offset))
+    return flat(pa.Array.from_buffers(pa.large_string(), len(column), column.buffers(), offset=column.offset))
 
 
 def merge_runs(runs: DataFrame, least: int) -> DataFrame:
@@ -323,7 +357,7 @@ def merge_runs(runs: DataFrame, least: int) -> DataFrame:
         merger, at = None, None
         for batch in batches:
             part = batch.column(0).to_numpy()
-            nodes = np.cumsum(pc.binary_length(batch.column(3)).to_numpy()) if len(part) else []
+            nodes = np.cumsum(batch.column(2).to_numpy())
             low = 0
             while low < len(part):
                 if part[low] != at:
