@@ -145,7 +145,7 @@ class Trie:
         """All subtrees as sorted runs, one for each language and part: see ``RUN``."""
         names = pa.array([w + b" " for w in self.names], pa.large_binary())
         rank = np.zeros(len(names), np.int64)
-        rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))  # the empty name, of no word, comes first
+        rank[pc.sort_indices(pa.array(self.names, pa.large_binary())).to_numpy()] = np.arange(len(names))  # no word comes first
         sizes = np.array([len(w) for w in self.names])
         ends = np.cumsum(sizes)
         hashes = np.zeros(len(names), _U)
