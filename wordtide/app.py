@@ -6,7 +6,7 @@
     python -m wordtide.app show --channels DIR
 
 ``run`` follows the folder of message files and publishes every micro-batch, idle ones included.
-With ``--echo`` the metric messages are printed at the end of a run with ``--once``.
+With ``--echo`` the metric messages are printed as they are published, with ``--once`` at the end.
 ``feed`` appends the words of a text to that folder. ``show`` prints the dashboard views.
 """
 
@@ -82,12 +82,12 @@ def feed(spark: SparkSession, corpus: str, messages: str, key: str = "words") ->
 def dashboard(spark: SparkSession, channels: str) -> dict[str, DataFrame]:
     """The dashboard's views of a channel table, by title."""
     table = st.ChannelTable(channels)
-    published, newest = table.read(spark), table.newest(spark)
+    published, newest = table.latest(spark), table.newest(spark)
     return {
         fixed.SUMMARY_TITLE: op.published_summary(published, newest=newest),
         fixed.FLOW_TITLE: op.published_flow(published, newest=newest),
         fixed.DETAIL_TITLE: op.published_details(published, newest=newest),
-        fixed.RAW_TITLE: op.published_recent(published),
+        fixed.RAW_TITLE: op.published_recent(table.recent(spark), "batch_id"),
         fixed.OPERATION_TITLE: op.published_operation(published, newest=newest),
     }
 
@@ -127,9 +127,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
         if given.echo:
             table = st.ChannelTable(given.channels)
             told = f"{given.checkpoint.rstrip('/')}-echo"
-            st.finish(
-                st.subscribe_live(spark, table, st.echo_metrics, told, follow=not given.once)
-            )
+            echo = st.subscribe_live(spark, table, st.echo_metrics, told, follow=not given.once)
+            if given.once:
+                st.finish(echo)
         st.finish(query)
     elif given.command == "feed":
         feed(spark, given.corpus, given.messages, given.key)

@@ -16,6 +16,7 @@ from wordtide.operators.channels import (
     parse_details,
     parse_summaries,
     parse_transitions,
+    parsed_or_rejected,
     raw_messages,
     subscribe,
 )
@@ -82,6 +83,7 @@ __all__ = [
     "parse_details",
     "parse_summaries",
     "parse_transitions",
+    "parsed_or_rejected",
     "profile_with_heartbeats",
     "progress_view",
     "published_details",

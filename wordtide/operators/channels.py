@@ -23,6 +23,12 @@ from wordtide.operators.metrics import branch_totals, length_profile, summary_to
 
 UTC = {"timeZone": "UTC"}
 STRICT = {"mode": "FAILFAST"}  # a malformed message is an error, not an absent one
+# Each metric channel's payload, and whether it is an array.
+PAYLOADS = {
+    STREAM_TRANSITIONS: (TRANSITIONS_PAYLOAD, True),
+    SUMMARY_METRICS: (SUMMARY_PAYLOAD, False),
+    DETAIL_METRICS: (DETAILS_PAYLOAD, True),
+}
 
 
 def channel_envelopes(
@@ -128,6 +134,29 @@ def parse_summaries(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def parsed_or_rejected(messages: DataFrame, channel: str) -> DataFrame:
+    """Messages of a metric channel, each with its ``payload`` or else a ``reason`` why it has none.
+
+    Reasons: ``malformed`` (not the JSON of the channel's payload), ``incomplete`` (a field is absent,
+    null or of another type), ``empty`` (no message). Nothing is dropped and nothing raises: split on
+    ``reason IS NULL`` into typed rows and a dead-letter table. The strict parsers serve channels whose
+    messages are the job's own.
+    """
+    payload, array = PAYLOADS[channel]
+    text = F.trim("message")
+    whole = F.from_json(F.concat(F.lit('{"v":'), text, F.lit(', "_end":true}')), f"v {payload.simpleString()}, _end boolean, _bad string", {**UTC, "columnNameOfCorruptRecord": "_bad"})
+    required = "forall(v, x -> x IS NOT NULL AND {})" if array else "{}"
+    item = payload.elementType if array else payload
+    present = " AND ".join(f"{'x' if array else 'v'}.{name} IS NOT NULL" for name in item.names)
+    reason = (
+        F.when(F.coalesce(F.length(text), F.lit(0)) == 0, "empty")
+        .when(F.col("_whole").isNull() | F.col("_whole._bad").isNotNull() | F.col("_whole._end").isNull() | F.col("v").isNull(), "malformed")
+        .when(~F.coalesce(F.expr(required.format(present)), F.lit(False)), "incomplete")
+    )
+    parsed = subscribe(messages, [channel]).withColumn("_whole", whole).withColumn("v", F.col("_whole.v")).withColumn("reason", reason)
+    return parsed.withColumn("payload", F.when(F.col("reason").isNull(), F.col("v"))).drop("_whole", "v")
+
+
 def parse_details(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Histogram rows out of detail messages; an empty histogram has none."""
     payload = F.from_json("message", DETAILS_PAYLOAD, STRICT)

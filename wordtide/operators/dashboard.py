@@ -34,10 +34,6 @@ from wordtide.operators.metrics import (
 from wordtide.operators.words import tokenize
 
 
-# Numbers of texts that ``recent_words`` sorts at most before it takes the whole table.
-WIDEST = 1_000_000
-
-
 def latest_batch(rows: DataFrame, number: str, per_batch: int = 1) -> DataFrame:
     """Rows of the newest batch, where a batch is ``per_batch`` consecutive values of ``number``.
 
@@ -103,24 +99,22 @@ def recent_words(
 ) -> DataFrame:
     """The newest ``limit`` words as (rank, word), newest first.
 
-    ``number`` is the unique arrival number of the texts. The newest ``limit`` numbers are found
-    without their texts; the filter on ``number`` then lets the file scan skip older row groups, and
-    only what is left is cut into words. If too few words come out, the range is widened, at last to
-    the whole table. Rows without a number have no place in the order and are left out.
+    ``number`` is the unique arrival number of the texts. Texts whose number lies close to the
+    greatest are cut into words; the filter on ``number`` lets the file scan skip older row groups. If
+    too few words come out, the range is widened sixteenfold, until it covers all numbers. Rows
+    without a number have no place in the order and are left out.
     """
-    numbers = texts.where(F.col(number).isNotNull()).select(number)
     numbered = texts.where(F.col(number).isNotNull()).select(number, text)
-    size = limit
+    oldest, latest = numbered.agg(F.min(number), F.max(number)).first()
+    width = limit
     while True:
-        newest_numbers = numbers.orderBy(F.col(number).desc()).limit(size)
-        start, found = newest_numbers.agg(F.min(number), F.count(number)).first()
-        every = found < size or size > WIDEST
-        part = numbered if every else numbered.where(F.col(number) >= F.lit(start))
+        every = latest is None or latest - width <= oldest
+        part = numbered if every else numbered.where(F.col(number) > F.lit(latest - width))
         newest = tokenize(part, text).orderBy(F.col(number).desc(), F.col("pos").desc())
         newest = newest.limit(limit)
         if every or newest.count() == limit:
             return _ranked(newest, number, "pos", "word")
-        size *= 16
+        width *= 16
 
 
 def _ranked(newest: DataFrame, *columns: str) -> DataFrame:
@@ -208,16 +202,10 @@ def published_recent(
 ) -> DataFrame:
     """The newest raw messages as (rank, word), newest first, by batch, ``seq`` and word.
 
-    Batches first: the newest ``limit`` messages lie in the newest ``limit`` batches that have any.
-    Which those are is told by the summary channel, one row per batch, so no older raw folder of a
-    channel table is read.
+    A top-k over the raw messages given; ``ChannelTable.recent`` gives the few that can count.
     """
-    summaries = parse_summaries(subscribe(messages, [SUMMARY_METRICS]), [batch])
-    filled = summaries.where(F.col("total_words") > 0).select(batch)
-    start = filled.orderBy(F.col(batch).desc()).limit(limit).agg(F.min(batch))
     newest = (
         subscribe(messages, [RAW_MESSAGES])
-        .where(F.col(batch) >= start.scalar())
         .select(F.col(batch).alias("at_batch"), "seq", F.col("message").alias("word"))
         .orderBy(F.col("at_batch").desc(), F.col("seq").desc(), F.col("word").desc())
         .limit(limit)

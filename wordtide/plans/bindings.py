@@ -81,9 +81,14 @@ def doc_batch_time() -> F.Column:
     return F.timestamp_seconds(F.lit(ORIGIN_EPOCH) + batch_end())
 
 
-def batch_end() -> F.Column:
-    """The same in seconds from the origin."""
-    return F.lit(BATCH_SECONDS) * F.col("batch") + F.lit(BATCH_SECONDS)
+def published_batch_time() -> F.Column:
+    """The same, of a published batch."""
+    return F.timestamp_seconds(F.lit(ORIGIN_EPOCH) + batch_end("batch_id"))
+
+
+def batch_end(batch: str = "batch") -> F.Column:
+    """End of a batch's interval in seconds from the origin."""
+    return F.lit(BATCH_SECONDS) * F.col(batch) + F.lit(BATCH_SECONDS)
 
 
 def document_stream(spark: SparkSession, folder: str) -> DataFrame:

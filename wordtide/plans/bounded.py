@@ -243,3 +243,26 @@ def dashboard_recent15(spark: SparkSession, folder: str) -> DataFrame:
 def operational_metrics(spark: SparkSession, folder: str) -> DataFrame:
     metrics = op.operational_metrics(b.batched_words(spark, folder))
     return metrics.withColumn("batch_end_s", b.batch_end())
+
+
+def _planted(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of all document batches; those of every seventh batch are cut off, of every eleventh gone."""
+    whole, batch = document_envelopes(spark, folder), F.col("batch")
+    broken = F.when(batch % 7 == 0, F.expr("substring(message, 1, length(message) - 1)")).when(batch % 11 == 0, F.lit("")).otherwise(F.col("message"))
+    return whole.withColumn("message", broken)
+
+
+@query
+def rejected_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The dead-letter table of all three metric channels."""
+    planted = _planted(spark, folder)
+    parts = [op.parsed_or_rejected(planted, c).where("reason IS NOT NULL").select("batch", "channel", "reason") for c in METRIC_CHANNELS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def accepted_details(spark: SparkSession, folder: str) -> DataFrame:
+    """The typed rows beside it."""
+    typed = op.parsed_or_rejected(_planted(spark, folder), "detail-metrics").where("reason IS NULL")
+    rows = typed.select("batch", F.explode("payload").alias("detail"))
+    return rows.select("batch", F.col("detail.wordLength").alias("word_length"), F.col("detail.count").alias("cnt"))

@@ -229,6 +229,24 @@ ORACLE: dict[str, str] = {
     "stream_raw_messages_available_now": _RAW,
     "stream_fanout_available_now": f"""WITH {WORDS}
         SELECT count(*) AS n_raw, count(*) AS n_summed, count(*) AS n_flow FROM words""",
+    "stream_latest_summary_available_now": _LATEST_SUMMARY,
+    "stream_latest_flow_available_now": f"""WITH {WORDS}, {_LATEST}, {EDGES}, b AS (
+            SELECT {_COUNTS} FROM words WHERE batch = (SELECT batch FROM latest))
+        SELECT from_node AS "From", to_node AS "To", greatest({_EDGE_COUNT}, 1) AS "Weight"
+        FROM b, edges""",
+    "stream_pending_set_available_now": """SELECT DISTINCT CAST(floor(epoch(ts) / 3600) AS BIGINT) AS hour,
+        event_type AS key, CAST(user_id AS VARCHAR) AS value FROM events
+        WHERE event_type IS NOT NULL AND user_id IS NOT NULL""",
+    "stream_drain_rounds_available_now": f"""WITH {_MESSAGES} SELECT key, seq,
+        row_number() OVER (PARTITION BY key ORDER BY seq) AS round FROM messages WHERE key IS NOT NULL""",
+    "stream_progress_available_now": "SELECT count(*) AS n_messages, count(*) AS n_written FROM events",
+    "rejected_messages": f"""WITH {WORDS}, {ALL_WORDS}
+        SELECT batch, channel, CASE WHEN batch % 7 = 0 THEN 'malformed' ELSE 'empty' END AS reason
+        FROM (SELECT DISTINCT batch FROM all_words WHERE batch % 7 = 0 OR batch % 11 = 0),
+            (VALUES ('stream-transitions'), ('summary-metrics'), ('detail-metrics')) c(channel)""",
+    "accepted_details": f"""WITH {WORDS}
+        SELECT batch, CAST(length(word) AS INTEGER) AS word_length, count(*) AS cnt FROM words
+        WHERE batch % 7 <> 0 AND batch % 11 <> 0 GROUP BY ALL""",
     "stream_drain_available_now": f"""WITH {_MESSAGES} SELECT batch, key, seq,
         row_number() OVER (PARTITION BY batch, key ORDER BY seq) AS round FROM messages
         WHERE key IS NOT NULL""",

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from wordtide import operators as op
 from wordtide import streaming as st
-from wordtide.fixed import RAW_MESSAGES, STREAM_TRANSITIONS, SUMMARY_METRICS
+from wordtide.fixed import DETAIL_METRICS, RAW_MESSAGES, STREAM_TRANSITIONS, SUMMARY_METRICS
 from wordtide.plans import bindings as b
-from wordtide.plans.bounded import Query, document_envelopes
-from wordtide.sources import stream_table
+from wordtide.plans.bounded import Query
+from wordtide.sources import keyed_messages, pending_set, stream_table
 
+METRIC_CHANNELS = [STREAM_TRANSITIONS, SUMMARY_METRICS, DETAIL_METRICS]
 STREAMS: dict[str, Query] = {}
 
 
@@ -139,35 +140,96 @@ def stream_raw_messages_available_now(spark: SparkSession, folder: str) -> DataF
     return spark.read.schema(schema).parquet(f"{run}/raw")
 
 
-def _published(spark: SparkSession, folder: str, name: str, raw: bool = False) -> DataFrame:
-    """The messages of all document batches, published to a table and read from it."""
-    path = f"{st.run_folder(spark, name)}/channels"
-    envelopes = document_envelopes(spark, folder)
-    envelopes.withColumn("seq", F.lit(None).cast("bigint")).write.partitionBy("channel").parquet(path)
-    if raw:
-        words = b.batched_words(spark, folder).withColumn("seq", b.raw_order())
-        messages = op.raw_messages(words, "batch", "seq")
-        messages.write.mode("append").partitionBy("channel").parquet(path)
-    schema = "batch bigint, message string, seq bigint, channel string"
-    return spark.read.schema(schema).parquet(path)
+def _published(spark: SparkSession, folder: str, name: str) -> st.ChannelTable:
+    """All document batches, published to a channel table at once."""
+    channels = st.ChannelTable(f"{st.run_folder(spark, name)}/channels")
+    words = b.batched_words(spark, folder, blanks=True).withColumn("seq", b.raw_order())
+    channels.publish_batches(words.select("batch", "seq", "word"), "batch", b.published_batch_time())
+    return channels
 
 
 @query
 def published_summary(spark: SparkSession, folder: str) -> DataFrame:
-    published = _published(spark, folder, "published-summary")
-    return op.published_summary(published, "batch").drop("batch_time")
+    channels = _published(spark, folder, "published-summary")
+    return op.published_summary(channels.latest(spark), newest=channels.newest(spark)).drop("batch_time")
 
 
 @query
 def published_flow(spark: SparkSession, folder: str) -> DataFrame:
-    return op.published_flow(_published(spark, folder, "published-flow"), "batch")
+    channels = _published(spark, folder, "published-flow")
+    return op.published_flow(channels.latest(spark), newest=channels.newest(spark))
 
 
 @query
 def published_detail_top10(spark: SparkSession, folder: str) -> DataFrame:
-    return op.published_details(_published(spark, folder, "published-details"), "batch")
+    channels = _published(spark, folder, "published-details")
+    return op.published_details(channels.latest(spark), newest=channels.newest(spark))
 
 
 @query
 def published_recent15(spark: SparkSession, folder: str) -> DataFrame:
-    return op.published_recent(_published(spark, folder, "published-recent", raw=True), "batch")
+    """The newest words out of the summaries that were published beside the metrics."""
+    return op.published_recent(_published(spark, folder, "published-recent").recent(spark))
+
+
+def _latest(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Metric messages of all document batches through a stream whose state is the latest of each."""
+    channels = _published(spark, folder, name)
+    kept = st.EpochTable(f"{channels.path}-latest", "channel string, batch_id bigint, message string")
+    latest = st.latest_values(channels.subscription(spark, METRIC_CHANNELS))
+    st.finish(st.start(latest, st.keep_rows(kept), f"{channels.path}-checkpoint", mode="update"))
+    return st.current_values(kept.read(spark))
+
+
+@query
+def stream_latest_summary_available_now(spark: SparkSession, folder: str) -> DataFrame:
+    return op.published_summary(_latest(spark, folder, "latest-summary")).drop("batch_time")
+
+
+@query
+def stream_latest_flow_available_now(spark: SparkSession, folder: str) -> DataFrame:
+    return op.published_flow(_latest(spark, folder, "latest-flow"))
+
+
+@query
+def stream_pending_set_available_now(spark: SparkSession, folder: str) -> DataFrame:
+    """Users of each kind of event, once an hour."""
+    events = stream_table(spark, folder, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("key"), F.col("user_id").cast("string").alias("value")
+    )
+    run = st.run_folder(spark, "pending")
+    kept = st.EpochTable(f"{run}/sets", "hour bigint, key string, value string")
+    taken = pending_set(keyed_messages(events), "ts", "1 hour")
+    hour = (F.unix_timestamp("pending.start") / 3600).cast("bigint").alias("hour")
+    st.finish(st.start(taken.select(hour, "key", "value"), st.keep_rows(kept), f"{run}/checkpoint"))
+    return kept.read(spark).drop("epoch")
+
+
+@query
+def stream_drain_rounds_available_now(spark: SparkSession, folder: str) -> DataFrame:
+    """Rounds over all conversations together, drained file by file in a stream that carries on."""
+    run = st.run_folder(spark, "rounds")
+    turns = b.conversation_messages(spark, folder).where("key IS NOT NULL").select("key", "seq")
+    first, last = turns.agg(F.min("seq"), F.max("seq")).first()
+    cuts = [first + (last - first) * i // 4 for i in range(4)] + [last + 1]
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):  # four files, one after the other
+        part = turns.where(F.col("seq").between(low, high - 1)).coalesce(1)
+        part.write.mode("append").parquet(f"{run}/turns")
+    stream = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/turns")
+    rows = st.EpochTable(f"{run}/rows", "key string, seq bigint, round bigint")
+    taken = st.EpochTable(f"{run}/taken", "key string, n_taken bigint")
+    st.finish(st.start(stream, st.keep_drained(rows, taken), f"{run}/checkpoint"))
+    return rows.read(spark).drop("epoch")
+
+
+@query
+def stream_progress_available_now(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of all micro-batches of a stream, as its listener noted them down."""
+    run = st.run_folder(spark, "progress")
+    kept = st.EpochTable(f"{run}/events", "event_id bigint")
+    with st.ProgressLog(spark, f"{run}/progress") as log:
+        events = stream_table(spark, folder, "events").select("event_id")
+        query = st.finish(st.start(events, st.keep_rows(kept), f"{run}/checkpoint"))
+        log.wait(query)
+    noted = log.read().agg(F.sum("n_messages").alias("n_messages"))
+    return noted.crossJoin(kept.read(spark).agg(F.count("*").alias("n_written")))

@@ -6,6 +6,7 @@ from wordtide.sources.messages import (
     ingest_list,
     ingest_set,
     keyed_messages,
+    pending_set,
     read_messages,
     stream_messages,
     structure_of,
@@ -21,6 +22,7 @@ __all__ = [
     "ingest_set",
     "keyed_messages",
     "next_number",
+    "pending_set",
     "read_corpus",
     "read_messages",
     "stream_messages",

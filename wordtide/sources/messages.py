@@ -55,6 +55,19 @@ def ingest_set(messages: DataFrame, within: Sequence[str] = ("batch",)) -> DataF
     return messages.select(*within, "key", "value").distinct()
 
 
+def pending_set(messages: DataFrame, time: str, span: str, delay: str = "10 minutes") -> DataFrame:
+    """Each value of a key once per span of ``time``, over any number of micro-batches: a stream's set ingest.
+
+    A value that is pending already is not taken again; once its span has passed, its state is
+    forgotten and the value can come back. State is kept for the spans that the watermark, ``delay``
+    behind the newest time, has not passed yet; messages later than that are dropped. It is keyed by
+    span, key and value together, so a hot key is spread over tasks. Works on bounded tables as well.
+    """
+    timed = messages.withWatermark(time, delay) if messages.isStreaming else messages
+    within = timed.select(F.window(time, span).alias("pending"), "key", "value")
+    return within.dropDuplicates(["pending", "key", "value"])
+
+
 def ingest(
     messages: DataFrame,
     keys: Iterable[str] | None = None,

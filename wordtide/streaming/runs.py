@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wordtide.fixed import BATCH_SECONDS, CHANNELS, RAW_MESSAGES
-from wordtide.operators import length_profile, raw_messages
+from wordtide.operators import length_profile, raw_messages, round_robin_drain
 from wordtide.sources import ingest_set
 from wordtide.streaming.tables import ChannelTable, EpochTable
 
@@ -48,6 +48,49 @@ def keep_rows(table: EpochTable) -> BatchFunction:
     return table.write
 
 
+def keep_drained(rows: EpochTable, taken: EpochTable, within: Sequence[str] = ()) -> BatchFunction:
+    """Round-robin drain that goes on from one micro-batch to the next.
+
+    ``rows`` gets the messages with their rounds. ``taken`` carries how many messages of each key
+    were drained so far, one row a key and micro-batch, and every micro-batch starts from the row of
+    the one before it. So rounds equal those of a drain of all messages together, if messages of a
+    key arrive in the order of ``seq``; keys may turn up late.
+    """
+    group = [*within, "key"]
+
+    def drain(messages: DataFrame, epoch: int) -> None:
+        spark = messages.sparkSession
+        before = taken.read(spark).where(F.col("epoch") == epoch - 1).select(*group, "n_taken")
+        drained = round_robin_drain(messages, within)
+        ahead = [(drained[c].eqNullSafe(before[c])) for c in group]
+        placed = drained.join(before, ahead, "left").select(
+            *(drained[c] for c in messages.columns), (drained["round"] + F.coalesce("n_taken", F.lit(0))).alias("round")
+        )
+        rows.write(placed, epoch)
+        counted = messages.groupBy(*group).agg(F.count("*").alias("n_taken"))
+        taken.write(before.unionByName(counted).groupBy(*group).agg(F.sum("n_taken").alias("n_taken")), epoch)
+
+    return drain
+
+
+def latest_values(messages: DataFrame) -> DataFrame:
+    """(channel, batch_id, message): the newest message of each metric channel, as a stream's state.
+
+    Run in update mode with ``keep_rows``, it hands on the channels that changed. The state is one
+    row a channel.
+    """
+    newest = F.struct("batch_id", "message")
+    metrics = messages.where(F.col("channel") != RAW_MESSAGES)
+    latest = metrics.groupBy("channel").agg(F.max_by(newest, "batch_id").alias("latest"))
+    return latest.select("channel", "latest.batch_id", "latest.message")
+
+
+def current_values(kept: DataFrame) -> DataFrame:
+    """What the updates in an epoch table amount to: each channel's row of its last epoch."""
+    latest = kept.groupBy("channel").agg(F.max_by(F.struct("batch_id", "message"), "epoch").alias("latest"))
+    return latest.select("channel", "latest.batch_id", "latest.message")
+
+
 def _triggered(writer: DataStreamWriter, checkpoint: str, follow: bool) -> DataStreamWriter:
     writer = writer.option("checkpointLocation", checkpoint)
     if follow:
@@ -56,14 +99,19 @@ def _triggered(writer: DataStreamWriter, checkpoint: str, follow: bool) -> DataS
 
 
 def start(
-    stream: DataFrame, batch_function: BatchFunction, checkpoint: str, follow: bool = False
+    stream: DataFrame,
+    batch_function: BatchFunction,
+    checkpoint: str,
+    follow: bool = False,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Start a stream: over what is there now, or (``follow``) every interval until it is stopped.
 
     ``checkpoint`` is the stream's identity: started again with it, the stream goes on behind the
     last finished micro-batch.
     """
-    return _triggered(stream.writeStream.foreachBatch(batch_function), checkpoint, follow).start()
+    writer = stream.writeStream.outputMode(mode).foreachBatch(batch_function)
+    return _triggered(writer, checkpoint, follow).start()
 
 
 def subscribe_live(
@@ -76,18 +124,13 @@ def subscribe_live(
 ) -> StreamingQuery:
     """Hand the messages of the named channels to a subscriber, batch by batch as they are published.
 
-    A batch is announced once, when it is complete, so one that is published again after a failure
-    is not delivered again. A subscriber of its own checkpoint goes on where it stopped; any number
-    of them read the same table. ``deliver`` may be called again with the same number after a
-    failure of its own, over the same batches.
+    A commit is delivered once and whole, so a batch that is published again after a failure is not
+    delivered again. A subscriber may start before anything is published; one with its own
+    checkpoint goes on where it stopped; any number of them read the same table. A delivery reads the
+    new folders alone. ``deliver`` may be called again with the same number after a failure of its
+    own, over the same messages.
     """
-    named = list(channels)
-
-    def hand_over(announced: DataFrame, epoch: int) -> None:
-        messages = table.read(announced.sparkSession, named)
-        deliver(messages.join(announced, "batch_id", "left_semi"), epoch)
-
-    return start(table.announcements(spark), hand_over, checkpoint, follow)
+    return start(table.subscription(spark, channels), deliver, checkpoint, follow)
 
 
 def publish_raw(
