@@ -7,7 +7,8 @@ import time
 
 from wordtide import operators as op
 from wordtide import streaming as st
-from wordtide.streaming.log import GRACE, CommitLog, Folder, Manifest
+from wordtide.streaming import log as log_module
+from wordtide.streaming.log import CommitLog, Folder, Manifest
 
 
 def files_below(path):
@@ -63,8 +64,10 @@ def test_what_was_not_committed_is_not_seen(spark, words, tmp_path, monkeypatch)
     assert sorted((r.batch_id, r.message) for r in raw.collect()) == [(0, "one"), (1, "two")]
 
 
-def test_merging_keeps_every_message_and_the_newest_words(spark, words, tmp_path):
-    table, n = st.ChannelTable(str(tmp_path / "channels")), 23
+def test_merging_keeps_every_message_and_the_newest_words(spark, words, tmp_path, monkeypatch):
+    monkeypatch.setattr(log_module, "MERGE", 4)
+    monkeypatch.setattr(log_module, "GRACE", 3)
+    table, n = st.ChannelTable(str(tmp_path / "channels")), 11
     for batch in range(n):
         table.publish(words(f"w{batch:02d}", "tail") if batch % 3 else words("x").where("false"), batch)
     log = CommitLog(spark, f"{table.path}/log").latest()
@@ -79,11 +82,11 @@ def test_merging_keeps_every_message_and_the_newest_words(spark, words, tmp_path
     assert table.recent(spark).count() <= 45
     kept = st.ChannelTable(table.path, keep=4)
     kept.publish(words("end"), n)
-    assert min(r.batch_id for r in kept.read(spark).collect()) == 20
-    for batch in range(n + 1, n + 1 + GRACE):
+    assert min(r.batch_id for r in kept.read(spark).collect()) == 8
+    for batch in range(n + 1, n + 5):
         kept.publish(words("more"), batch)
     live = {f.name for f in CommitLog(spark, f"{table.path}/log").latest().folders}
-    assert len([d for d in os.listdir(table.path) if d != "log"]) <= len(live) + 2 * GRACE
+    assert len([d for d in os.listdir(table.path) if d != "log"]) <= len(live) + 6
 
 
 def test_a_subscriber_may_start_first_and_reads_new_files_alone(spark, words, tmp_path):

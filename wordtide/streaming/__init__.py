@@ -1,7 +1,7 @@
 """Structured Streaming: one micro-batch function over the bounded operators, and its tables."""
 
 from wordtide.streaming.folders import run_folder, shared_folder
-from wordtide.streaming.progress import ProgressLog
+from wordtide.streaming.progress import ProgressLog, velocity
 from wordtide.streaming.runs import (
     BatchFunction,
     current_values,
@@ -45,4 +45,5 @@ __all__ = [
     "shared_folder",
     "start",
     "subscribe_live",
+    "velocity",
 ]
