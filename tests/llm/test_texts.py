@@ -357,6 +357,83 @@ def test_counts_and_base_scores_are_the_plain_ones(docs):
     assert lm.score(docs([]), docs(learn)).count() == 0
 
 
+def plain_scores(model, counts, texts):
+    """log10 probabilities of texts, from the model's class probabilities, one token at a time."""
+    end, rest = model.lookup.end, model.lookup.rest
+
+    def class_of(word):
+        found = [c for h1, h2, c in zip(model.lookup.h1, model.lookup.h2, model.lookup.classes, strict=True) if (h1, h2) == hashes(word)]
+        return found[0] if found else rest
+
+    def hashes(word):
+        data = np.frombuffer(word, np.uint8)
+        at = np.array([0]), np.array([len(word)])
+        return text.span_hashes(data, *at)[0], text.second_hashes(data, *at)[0]
+
+    def score(line):
+        total, context = 0.0, [end, end]
+        for word in [*line, None]:
+            c = end if word is None else class_of(word)
+            total += model.parameters.log_probabilities(np.array([context]))[0][c] / math.log(10)
+            if c == rest:
+                n = counts.get(word, 0)
+                share = n - model.discount if n else model.discount * model.rest_words
+                total += math.log10(share / model.rest_tokens) if model.rest_tokens else 0.0
+            context = [context[1], c]
+        return total
+
+    return [score(t) for t in texts]
+
+
+def test_scores_are_those_of_a_plain_loop_and_sum_to_one(docs, monkeypatch):
+    monkeypatch.setattr(lm, "TOP", 3)
+    rng = random.Random(18)
+    learn = numbered([" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 6))) for _ in range(80)])
+    counts = Counter(w for _, t in learn for w in t.encode().split())
+    model = lm.fit(docs(learn), lm.word_counts(docs(learn)))
+    texts = ["", "a", "a b", "e d", "zz", "zz e a", None]
+    got = {r.doc_id: r.score for r in lm.score(docs(numbered(texts)), docs(learn)).collect()}
+    plain = plain_scores(model, counts, [(t or "").encode().split() for t in texts])
+    assert [round(got[i], 4) for i in range(len(texts))] == [round(p, 4) for p in plain]
+    # the next token is a known word, one never seen, or the end
+    words = [*sorted(counts), b"zz"]
+    for start in ([], [b"a"], [b"e", b"zz"]):
+        ended, *longer = plain_scores(model, counts, [start, *([*start, w] for w in words)])
+        heads = [s - e for s, e in zip(longer, ends_after(model, [[*start, w] for w in words], counts), strict=True)]
+        whole = ended - ends_after(model, [start], counts)[0]
+        total = sum(10 ** (h - whole) for h in heads) + 10 ** ends_after(model, [start], counts)[0]
+        assert abs(total - 1) < 1e-4
+
+
+def ends_after(model, lines, counts):
+    """log10 of the chance of an end after each line."""
+    return [plain_end(model, line, counts) for line in lines]
+
+
+def plain_end(model, line, counts):
+    context = [model.lookup.end, model.lookup.end]
+    for word in line:
+        data = np.frombuffer(word, np.uint8)
+        h1 = text.span_hashes(data, np.array([0]), np.array([len(word)]))[0]
+        at = np.flatnonzero(model.lookup.h1 == h1)
+        context = [context[1], model.lookup.classes[at[0]] if len(at) else model.lookup.rest]
+    return model.parameters.log_probabilities(np.array([context]))[0][model.lookup.end] / math.log(10)
+
+
+def test_the_second_hash_is_no_function_of_the_first(spark):
+    # words of equal first hashes: the powers of an odd base cancel over the Thue-Morse sequence
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    pair = [bytes(97 + b for b in bits), bytes(98 - b for b in bits)]
+    data = np.frombuffer(b"".join(pair), np.uint8)
+    starts, ends = np.array([0, 1024]), np.array([1024, 2048])
+    first, second = text.span_hashes(data, starts, ends), text.second_hashes(data, starts, ends)
+    assert first[0] == first[1] and second[0] != second[1]
+    # a hash that goes on from another is a function of it; a line's second digest starts anew
+    line = F.col("id").cast("string")
+    rows = spark.range(50).select(*(d.alias(f"d{i}") for i, d in enumerate(lines._digest(line))), F.xxhash64(line, F.lit(7)).alias("chained"))
+    assert rows.filter("d1 = d0 OR d1 = chained").count() == 0 and rows.select("d1").distinct().count() == 50
+
+
 def test_model_learns_what_follows_what(docs):
     rng = random.Random(15)
     texts = [" ".join(["red", "blue", "green"][(k + i) % 3] for i in range(30)) for k in (rng.randint(0, 2) for _ in range(200))]
