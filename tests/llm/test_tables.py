@@ -35,6 +35,28 @@ def test_few_vectors_are_ranked_exactly(spark):
     assert ann.nearest(frame, frame.limit(0), k=3).count() == 0
 
 
+def test_vectors_of_any_length_are_found(spark):
+    draw = np.random.Generator(np.random.PCG64(3))
+    vectors = draw.standard_normal((3000, 12))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    longer = {5: 1e4, 77: 1e20, 78: 1e20, 400: 1e-20, 401: 1e200, 900: 1e-200}
+    for i, size in longer.items():
+        vectors[i] *= size
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, vector array<double>")
+    got = ann.nearest(frame, frame.filter("vec_id % 20 = 0 OR vec_id IN (77, 401)"), k=10, rows_per_shard=700).collect()
+    found = {(r.query_id, r.rank): r for r in got}
+    hits = total = 0
+    for q in [*range(0, 3000, 20), 77, 401]:
+        scores = (vectors * vectors[q]).sum(axis=1)
+        scores[q] = -np.inf
+        best = np.lexsort((np.arange(3000), -scores))[:10]
+        mine = [found[q, k].vec_id for k in range(1, 11)]
+        assert [found[q, k].score for k in range(1, 11)] == [scores[i] for i in mine]
+        hits, total = hits + len(set(mine) & set(best.tolist())), total + 10
+    assert hits >= 0.95 * total
+
+
 def test_shards_of_many_vectors_reach_the_nearest(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((1500, 16)) * rng.uniform(0.2, 2, (1500, 1))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wordtide.llm import graphs
 from wordtide.llm.store import written
 
-INDEX = "dim int, shard int, ids binary, firsts binary, vectors binary, order binary, sizes binary, links binary"
+INDEX = "dim int, scale int, shard int, ids binary, firsts binary, vectors binary, order binary, sizes binary, links binary"
 
 
 def sound(vector: Column) -> Column:
@@ -19,6 +19,13 @@ def sound(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _scale(vector: str):
+    """The power of two nearest to a vector's length, without squares that overflow."""
+    largest = F.array_max(F.transform(vector, lambda x: F.abs(x)))
+    squares = F.aggregate(vector, F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest))
+    return F.round(F.log2(largest) + F.log2(squares) / 2).cast("int")
+
+
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
@@ -34,19 +41,19 @@ def _rows(part: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _build(key: tuple, part: pa.Table) -> pa.Table:
-    dim, shard = (k.as_py() for k in key)
+    dim, scale, shard = (k.as_py() for k in key)
     ids, vectors = _rows(part, dim)
     # equal vectors are one node, with its ids in order
     distinct, node = np.unique(vectors, axis=0, return_inverse=True)
     node = node.reshape(-1)
     sort = np.argsort(node, kind="stable")
     firsts = np.searchsorted(node[sort], np.arange(len(distinct) + 1))
-    graph = graphs.build(distinct)
+    graph = graphs.build(np.ldexp(distinct, -scale))
     sizes = np.array([len(x) for x in graph.layers], np.int64)
     links = np.concatenate([x.ravel() for x in graph.layers])
-    row = [dim, shard, ids[sort].astype(np.int64), firsts.astype(np.int64), distinct, graph.order.astype(np.int64), sizes, links]
-    names = ["dim", "shard", "ids", "firsts", "vectors", "order", "sizes", "links"]
-    arrays = [pa.array([x], pa.int32()) if i < 2 else pa.array([x.tobytes()], pa.binary()) for i, x in enumerate(row)]
+    row = [dim, scale, shard, ids[sort].astype(np.int64), firsts.astype(np.int64), distinct, graph.order.astype(np.int64), sizes, links]
+    names = ["dim", "scale", "shard", "ids", "firsts", "vectors", "order", "sizes", "links"]
+    arrays = [pa.array([x], pa.int32()) if i < 3 else pa.array([x.tobytes()], pa.binary()) for i, x in enumerate(row)]
     return pa.Table.from_arrays(arrays, names)
 
 
@@ -71,7 +78,8 @@ def _searcher(k: int, beam: int):
         members, firsts = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["firsts"], np.int64)
         vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, dim)
         asked, wanted = _rows(queries, dim)
-        found = graphs.search(_graph(row), vectors, wanted, max(beam, k + 1))
+        largest = np.abs(wanted).max(axis=1, keepdims=True)  # a query's own length does not change its ranking
+        found = graphs.search(_graph(row), np.ldexp(vectors, -row["scale"]), wanted / largest, max(beam, k + 1))
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for q, own, nodes in zip(asked, wanted, found, strict=True):
             nodes = nodes[nodes >= 0]
@@ -102,8 +110,10 @@ def nearest(
     does a row with a null vec_id. Vectors meet those of their own length alone. Of rows with the
     same vec_id, the vector that is largest, component by component, counts.
 
-    Vectors are dealt by a hash of vec_id into shards of about ``rows_per_shard``, each of which one
-    task turns into a graph. Equal vectors are one node of it, so copies do not crowd the links out.
+    Vectors are grouped by length, to the nearest power of two, and within that dealt by a hash of
+    vec_id into shards of about ``rows_per_shard``. One task turns a shard into a graph, with its
+    vectors scaled to about unit length, so very long or short vectors neither overflow nor hide
+    the differences of others. Equal vectors are one node of it, so copies do not crowd the links out.
     Every block of queries then meets every shard once; a shard gives at most ``k`` rows for each
     query, and those are ranked. More vectors mean more shards: larger ones cost memory of a task
     (about 900 bytes for a vector of 64 components) and save searches.
@@ -111,14 +121,17 @@ def nearest(
     parts = written(
         vectors.filter(sound(F.col("vector")) & F.col("vec_id").isNotNull()).select(
             F.size("vector").alias("dim"), "vec_id", F.col("vector").cast("array<double>").alias("vector")
-        ),
+        ).withColumn("scale", _scale("vector")),
         "vectors",
     )
-    shards = parts.groupBy("dim").agg(F.ceil(F.count("*") / rows_per_shard).cast("int").alias("shards"))
-    dealt = parts.join(shards, "dim").select(
-        "dim", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int").alias("shard"), "vec_id", "vector"
+    shards = parts.groupBy("dim", "scale").agg(F.ceil(F.count("*") / rows_per_shard).cast("int").alias("shards"))
+    dealt = parts.join(shards, ["dim", "scale"]).select(
+        "dim", "scale", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int").alias("shard"), "vec_id", "vector"
     )
-    index = written(dealt.groupBy("dim", "shard").applyInArrow(_build, INDEX), "index")
+    # a number of partitions that is given is not merged, so graphs are built side by side
+    graphs_wanted = shards.agg(F.sum("shards")).first()[0] or 1
+    key = ["dim", "scale", "shard"]
+    index = written(dealt.repartition(graphs_wanted, *key).groupBy(*key).applyInArrow(_build, INDEX), "index")
 
     asked = queries.filter(sound(F.col("vector")) & F.col("vec_id").isNotNull()).select(
         F.size("vector").alias("dim"), "vec_id", F.col("vector").cast("array<double>").alias("vector")
@@ -127,10 +140,10 @@ def nearest(
     sizes = shards.join(blocks, "dim")
     one = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = asked.join(sizes, "dim").select(
-        "dim", one("shards").alias("shard"), F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "vector"
+        "dim", "scale", one("shards").alias("shard"), F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "vector"
     )
-    right = index.join(sizes.select("dim", "blocks"), "dim").withColumn("block", one("blocks")).drop("blocks")
-    keys = ["dim", "shard", "block"]
+    right = index.join(blocks, "dim").withColumn("block", one("blocks")).drop("blocks")
+    keys = [*key, "block"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         _searcher(k, beam), "query_id bigint, vec_id bigint, score double"
     )
