@@ -166,7 +166,7 @@ def plain_phrases(rows, least, top=2000):
 @pytest.mark.parametrize("small", [False, True])
 def test_phrases_equal_a_plain_count(spark, monkeypatch, small):
     if small:  # containers burst, tries spill, runs of a part come in several pieces
-        for name, value in {"BURST": 16, "ENTRIES": 200, "MERGE_NODES": 40, "PARTS_PER_TASK": 2}.items():
+        for name, value in {"BURST": 16, "ENTRIES": 200, "MERGE_NODES": 40, "LEAST_PARTS": 8}.items():
             monkeypatch.setattr(phrases, name, value)
     draw = random.Random(6)
     vocabulary = [*"abcdefgh", "Ünd", "über", "\x00", "a\x1c"]

@@ -20,8 +20,8 @@ WORD_BITS = 21
 BURST, FAN_OUT = 1 << 16, 16
 # A trie is spilled once it holds so many phrases, or has read so many bytes of text.
 ENTRIES, SPILL_BYTES = 1 << 20, 1 << 26
-# Parts of the prefixes for each task that merges, and parts that share one prefix of two words.
-PARTS_PER_TASK, SALTS = 16, 16
+# Parts of the prefixes at least, and for each task that merges; parts that share one prefix of two words.
+LEAST_PARTS, PARTS_PER_TASK, SALTS = 1024, 4, 16
 # Trie nodes that a merging task decodes at once.
 MERGE_NODES = 1 << 20
 
@@ -422,7 +422,7 @@ def collocations(docs: DataFrame, least: int = 30, covered: int = 80, top: int =
     ``least`` are at least as frequent, so joins from there on hold frequent phrases alone.
     """
     spark = docs.sparkSession
-    parts = PARTS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(LEAST_PARTS, PARTS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions")))
     counted = written(merge_runs(count_runs(docs.select("lang", "text"), parts), least), "phrases")
     words = counted.filter("size = 0").groupBy("lang").agg(F.sum("f").alias("n"))
     counted = counted.filter("size > 0")
