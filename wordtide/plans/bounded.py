@@ -179,14 +179,11 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def channel_fanout(spark: SparkSession, folder: str) -> DataFrame:
-    """Messages per subscribed channel, counted from the profiles; one channel has no subscriber."""
-    profile = op.length_profile(b.batched_words(spark, folder, blanks=True), ["batch"])
-    batches = profile.groupBy("batch").agg(F.sum("n_words").alias("n_words"))
-    once = [*METRIC_CHANNELS, UNSUBSCRIBED]
-    counts = [F.struct(F.lit(c).alias("channel"), F.lit(1).cast("bigint").alias("n")) for c in once]
-    raw = F.struct(F.lit(RAW_MESSAGES).alias("channel"), F.col("n_words").alias("n"))
-    published = batches.select(F.inline(F.array(*counts, raw)))
-    return op.subscribe(published).groupBy("channel").agg(F.sum("n").alias("n_messages"))
+    """Messages that reach the subscribers of each channel; one more channel has no subscriber."""
+    metrics = document_envelopes(spark, folder).select("channel")
+    unheard = metrics.where(F.col("channel") == METRIC_CHANNELS[0]).select(F.lit(UNSUBSCRIBED).alias("channel"))
+    raw = op.raw_messages(b.batched_words(spark, folder)).select("channel")
+    return op.channel_totals(op.subscribe(metrics.unionByName(unheard).unionByName(raw)))
 
 
 @query
