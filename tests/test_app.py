@@ -72,6 +72,8 @@ def test_commands(spark, tmp_path, capsys):
     shown = capsys.readouterr().out
     assert '0 summary-metrics {"totalWords":' in shown
     assert "Latest batch" in shown and "aardvark" in shown
+    noted = app.dashboard(spark, channels)["Micro-batches"].where("n_messages > 0").collect()
+    assert len({r["query"] for r in noted}) == 2  # the job and the echo
     stream = spark.readStream.schema("key string, value string, seq bigint").parquet(messages)
     st.finish(st.echo(stream, str(tmp_path / "ck2")))
 

@@ -79,6 +79,11 @@ def feed(spark: SparkSession, corpus: str, messages: str, key: str = "words") ->
     words.withColumn("ts", F.current_timestamp()).write.mode("append").parquet(messages)
 
 
+def progress_log(spark: SparkSession, channels: str) -> st.ProgressLog:
+    """Where a job on these channels notes its micro-batches down."""
+    return st.ProgressLog(spark, f"{channels.rstrip('/')}/progress")
+
+
 def dashboard(spark: SparkSession, channels: str) -> dict[str, DataFrame]:
     """The dashboard's views of a channel table, by title."""
     table = st.ChannelTable(channels)
@@ -89,6 +94,9 @@ def dashboard(spark: SparkSession, channels: str) -> dict[str, DataFrame]:
         fixed.DETAIL_TITLE: op.published_details(published, newest=newest),
         fixed.RAW_TITLE: op.published_recent(table.recent(spark), "batch_id"),
         fixed.OPERATION_TITLE: op.published_operation(published, newest=newest),
+        fixed.PROGRESS_TITLE: st.velocity(progress_log(spark, channels).read())
+        .orderBy(F.col("time").desc())
+        .limit(fixed.RECENT_ROWS),
     }
 
 
@@ -113,24 +121,26 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("wordtide").getOrCreate()
     if given.command == "run":
-        query = run_job(
-            spark,
-            given.messages,
-            given.channels,
-            given.checkpoint,
-            given.keys.split(","),
-            {"struct": given.struct},
-            follow=not given.once,
-        )
-        if given.once:
-            st.finish(query)
-        if given.echo:
-            table = st.ChannelTable(given.channels)
-            told = f"{given.checkpoint.rstrip('/')}-echo"
-            echo = st.subscribe_live(spark, table, st.echo_metrics, told, follow=not given.once)
+        with progress_log(spark, given.channels) as progress:
+            query = run_job(
+                spark,
+                given.messages,
+                given.channels,
+                given.checkpoint,
+                given.keys.split(","),
+                {"struct": given.struct},
+                follow=not given.once,
+            )
             if given.once:
-                st.finish(echo)
-        st.finish(query)
+                st.finish(query)
+            if given.echo:
+                table = st.ChannelTable(given.channels)
+                told = f"{given.checkpoint.rstrip('/')}-echo"
+                echo = st.subscribe_live(spark, table, st.echo_metrics, told, follow=not given.once)
+                if given.once:
+                    st.finish(echo)
+            st.finish(query)
+            progress.wait(query)
     elif given.command == "feed":
         feed(spark, given.corpus, given.messages, given.key)
     else:

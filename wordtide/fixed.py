@@ -47,6 +47,7 @@ FLOW_TITLE = "Word flow"
 DETAIL_TITLE = "Shortest words by length"
 RAW_TITLE = "Newest words"
 OPERATION_TITLE = "Operation"
+PROGRESS_TITLE = "Micro-batches"
 
 # --- fixed values: JSON payload formats, fields in published order ------------------------
 TRANSITIONS_PAYLOAD = T.ArrayType(
