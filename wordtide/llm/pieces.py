@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 # Segments up to this many characters are remembered, and up to so many findings in a process.
 REMEMBERED_CHARS, REMEMBERED = 48, 400_000
+# Of the beginnings of segments up to this many characters, the last pieces are remembered.
+BEGUN_CHARS = 12
 REMEMBERED_SEGMENTS = 1_000_000
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -82,6 +84,7 @@ class Viterbi:
         # what was found before: for two neighbours, and for the last piece of a short beginning
         self.stable: dict[tuple[str, str], bool] = {}
         self.begun: dict[str, str] = {}
+        self.streamed = 0  # characters the search has gone over
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging neighbours, best score first and leftmost of equals, ends with."""
@@ -106,69 +109,62 @@ class Viterbi:
         self.stable[left, right] = found
         return found
 
-    def short(self, text: str) -> list[str]:
-        """The pieces of a text that fits the window, for merge ranks: nothing needs to be forgotten."""
-        known, remembered, ends, last = self.known, self.stable.get, self.ends, [""]
-        if len(self.begun) >= REMEMBERED:
-            self.begun.clear()
-        for i in range(1, len(text) + 1):
-            start = text[:i] if i <= 12 else None
-            if start and (piece := self.begun.get(start)):
-                last.append(piece)
-                continue
-            for j in range(i - 1, -1, -1):
-                piece = text[j:i]
+    def _back(self, window: str, last: list[str], best: list[float], i: int) -> tuple[str, float]:
+        """The last piece on the best path to boundary i, and the path's score."""
+        known, picked, top = self.known, None, -np.inf
+        if self.merges:
+            remembered, ends = self.stable.get, self.ends
+            for j in range(i - 1, max(0, i - self.longest) - 1, -1):
+                piece = window[j:i]
                 if j < i - 1 and piece not in known:
                     if piece not in ends:
                         break
                     continue
-                left = last[j]
-                found = remembered((left, piece))
-                if found is None:
-                    found = self.neighbours(left, piece)
-                if found:
-                    last.append(piece)
-                    if start:
-                        self.begun[start] = piece
-                    break
-        return self._path(last, len(text))
-
-    def _back(self, window: str, last: list[str], best: list[float], i: int) -> tuple[str, float]:
-        """The last piece on the best path to boundary i, and the path's score."""
-        known, picked, top = self.known, None, -np.inf
-        for j in range(max(0, i - self.longest), i):
-            piece = window[j:i]
-            if piece in known:
-                score = known[piece]
-            elif j == i - 1:
-                score = self.unknown_score
-            else:
-                continue
-            if self.merges:
-                found = self.stable.get((last[j], piece))
+                found = remembered((last[j], piece))
                 if found is None:
                     found = self.neighbours(last[j], piece)
                 if found:
                     return piece, 0.0
-            elif best[j] + score > top:
+            raise AssertionError(f"no path to boundary {i} of {window!r}")
+        for j in range(max(0, i - self.longest), i):
+            piece = window[j:i]
+            score = known.get(piece, self.unknown_score if j == i - 1 else -np.inf)
+            if best[j] + score > top:
                 picked, top = piece, best[j] + score
         return picked, top
 
-    def stream(self, chars: Iterator[str]) -> Iterator[str]:
-        """Pieces, each as soon as no later character can change it. ``chars``: text in parts of any size."""
-        window, last, best = "", [""], [0.0]
-        for part in chars:
+    def stream(self, parts: Iterable[str], closed: bool = False) -> Iterator[list[str]]:
+        """The pieces of a text given in parts, committed as soon as no later character can change them.
+
+        Paths that survive end within the longest piece of the last character. They are followed
+        back whenever the window has grown to twice that length, and what lies before the boundary
+        that they share is committed. With ``closed``, no piece crosses from one part into the next,
+        so all paths share the boundary between the two, and everything before it is committed.
+        """
+        window, last, best, begins = "", [""], [0.0], True
+        for part in parts:
+            self.streamed += len(part)
             for c in part:
                 window += c
-                piece, score = self._back(window, last, best, len(window))
+                start = window if begins and self.merges and len(window) <= BEGUN_CHARS else None
+                piece, score = self.begun.get(start), 0.0
+                if piece is None:
+                    piece, score = self._back(window, last, best, len(window))
+                    if start:
+                        if len(self.begun) >= REMEMBERED:
+                            self.begun.clear()
+                        self.begun[start] = piece
                 last.append(piece)
                 best.append(score)
-                if len(window) >= 4 * self.longest:
-                    cut = self._converged(last)
-                    yield from self._path(last, cut)
+                if len(window) >= 2 * self.longest and (cut := self._converged(last)):
+                    yield self._path(last, cut)
                     # the piece before the cut stays as the left neighbour of what follows
-                    window, last, best = window[cut:], last[cut:], [b - best[cut] for b in best[cut:]]
-        yield from self._path(last, len(window))
+                    window, last, best, begins = window[cut:], last[cut:], [b - best[cut] for b in best[cut:]], False
+            if closed:
+                yield self._path(last, len(window))
+                window, last, best, begins = "", [""], [0.0], True
+        if window:
+            yield self._path(last, len(window))
 
     def _converged(self, last: list[str]) -> int:
         """The last boundary that the paths to all boundaries that can be extended have in common."""
@@ -210,35 +206,39 @@ def _segments(pieces: Pieces) -> Callable[[str], list[str]]:
     return re.compile(f"{either}{SPACE}*[{m}]*{word}|{SPACE}*[{m}]+|{SPACE}+" if m else f"{either}{SPACE}*{word}|{SPACE}+").findall
 
 
-class Encoder(dict):
-    """Segment to the bytes of its ids. A segment begins and ends where no piece of the vocabulary crosses."""
+class Encoder:
+    """Text to the bytes of its ids, through one streaming search.
+
+    The text is streamed in parts that no piece crosses. Ids of a short part that was streamed before
+    are remembered.
+    """
 
     def __init__(self, pieces: Pieces) -> None:
-        super().__init__()
         self.pieces, self.search = pieces, Viterbi(pieces)
         self.segments = _segments(pieces)
+        self.remembered: dict[str, bytes] = {}
 
-    def __missing__(self, segment: str) -> bytes:
+    def _streamed(self, segment: str) -> bytes:
         ids: list[int] = []
-        search = self.search
-        fits = search.merges and len(segment) <= REMEMBERED_CHARS
-        for piece in search.short(segment) if fits else search.stream(iter((segment,))):
-            known = self.pieces.ids.get(piece)
-            if known is not None:
-                ids.append(known)
-            elif self.pieces.bytes_:
-                ids += [self.pieces.bytes_[b] for b in piece.encode()]
-            elif not ids or ids[-1] != self.pieces.unknown:
-                ids.append(self.pieces.unknown)
+        for committed in self.search.stream((segment,), closed=True):
+            for piece in committed:
+                known = self.pieces.ids.get(piece)
+                if known is not None:
+                    ids.append(known)
+                elif self.pieces.bytes_:
+                    ids += [self.pieces.bytes_[b] for b in piece.encode()]
+                elif not ids or ids[-1] != self.pieces.unknown:
+                    ids.append(self.pieces.unknown)
         out = np.array(ids, np.int32).tobytes()
         if len(segment) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED_SEGMENTS:
-                self.clear()
-            self[segment] = out
+            if len(self.remembered) >= REMEMBERED_SEGMENTS:
+                self.remembered.clear()
+            self.remembered[segment] = out
         return out
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.segments(normalized(text))))
+        known, search = self.remembered.get, self._streamed
+        return b"".join([known(s) or search(s) for s in self.segments(normalized(text))])
 
 
 def decode(ids: list[int], spelled: list[bytes]) -> str:
