@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordtide.llm import text as tx
+from wordtide.llm.store import written
 
 ORDER = 5
 UNKNOWN = "und"
@@ -144,11 +145,13 @@ def cross_entropies(model: Model, data: np.ndarray, offsets: np.ndarray) -> tupl
     return -sums / np.maximum(lengths, 1)[:, None], lengths
 
 
-def calibrate(model: Model, rows: pd.DataFrame, margin: float) -> None:
+def calibrate(model: Model, rows: pd.DataFrame, margin: float, wrong: float = 0.05) -> None:
     """Per language and length class the cross-entropy above which a text is rejected.
 
-    It is ``margin`` times the highest of labelled texts that the models have not seen, whole and
-    cut into pieces. A shorter class is at least as lenient as a longer one.
+    It is ``margin`` times the quantile ``1 - wrong`` over labelled texts that the models have not
+    seen, whole and cut into pieces: labels can be wrong, and the few texts that are in truth in
+    another language must not set the limit. The margin leaves room for passages in another language.
+    A shorter class is at least as lenient as a longer one.
     """
     model.limits = np.full((len(model.languages), len(CLASSES) + 1), np.inf)
     for j, name in enumerate(model.languages):
@@ -161,11 +164,11 @@ def calibrate(model: Model, rows: pd.DataFrame, margin: float) -> None:
                 packed = [p.encode() for p in parts]
                 ends = np.concatenate(([0], np.cumsum([len(p) for p in packed])))
                 got, _ = cross_entropies(model, np.frombuffer(b"".join(packed), np.uint8), ends)
-                lenient = max(lenient, margin * float(got[:, j].max()))
+                lenient = max(lenient, margin * float(np.quantile(got[:, j], 1 - wrong)))
             model.limits[j, c] = lenient or np.inf
 
 
-def fit(docs: DataFrame, texts_per_language: int = 200, most_bytes: int = 100_000, margin: float = 2.0) -> Model:
+def fit(docs: DataFrame, texts_per_language: int = 200, most_bytes: int = 100_000, margin: float = 1.75) -> Model:
     """A model from ``docs`` (text, lang).
 
     It is fitted on a bounded sample: about ``texts_per_language`` distinct texts of each language,
@@ -184,6 +187,8 @@ def fit(docs: DataFrame, texts_per_language: int = 200, most_bytes: int = 100_00
         .select("lang", letters(F.col("text")).alias("letters"), (F.pmod(F.shiftright("h", 40), F.lit(4)) == 0).alias("held"))
         .filter("letters != ''")
     )
+    # bounded, and read three times: written once, so that the corpus is not
+    sample = written(sample, "language-sample")
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
         seen = part.loc[~part["held"], "letters"].tolist() or part["letters"].tolist()
