@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordtide.llm import text as tx
+from wordtide.llm.store import written
 
 # A word is a feature, and so is its beginning of each of these lengths in bytes.
 PREFIXES = (4, 5, 6)
@@ -158,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, most_bytes: i
     Null texts, and labels other than 0 and 1, give nothing. Of several labels of a document the
     largest counts. Without labelled texts every sentence scores the same, which is next to nothing.
     """
-    sample = _labelled(docs, labels, per_class, most_bytes)
+    sample = written(_labelled(docs, labels, per_class, most_bytes), "toxicity-sample")
     counted = sample.select("text", "label").mapInArrow(_frequencies, "feature bigint, clean bigint, toxic bigint")
     summed = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter("clean + toxic >= 3")
     sizes = sample.agg(F.sum((F.col("label") == 0).cast("int")), F.sum((F.col("label") == 1).cast("int"))).first()
