@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 import random
 from collections import Counter
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,7 +150,7 @@ def test_streaming_search_is_the_whole_search():
             for j in range(max(0, i - 4), i):
                 s = scores.get(chars[j:i], search.unknown_score if j == i - 1 else -math.inf)
                 best[i] = max(best[i], best[j] + s)
-        out = list(search.stream(iter([chars[:7], chars[7:]])))
+        out = list(chain.from_iterable(search.stream([chars[:7], chars[7:]])))
         assert "".join(out) == chars
         assert math.isclose(sum(scores.get(p, search.unknown_score) for p in out), best[-1])
 
@@ -165,8 +166,31 @@ def test_streaming_search_keeps_a_window(monkeypatch):
         return back(window, *rest)
 
     monkeypatch.setattr(search, "_back", watched)
-    assert list(search.stream(iter(["a" * 5001]))) == ["aa"] * 2500 + ["a"]
-    assert widest <= 4 * search.longest
+    commits = list(search.stream(["a" * 5001]))
+    assert list(chain.from_iterable(commits)) == ["aa"] * 2500 + ["a"]
+    assert widest <= 2 * search.longest and len(commits) > 1000
+
+
+def test_every_character_goes_through_the_streaming_search(monkeypatch):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = token_file("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    monkeypatch.setattr(pieces, "REMEMBERED_CHARS", 0)
+    encoder = pieces.Encoder(pieces.read_model(path))
+    rng = random.Random(8)
+    prose = " ".join("".join(rng.choice("etaoinsrh") for _ in range(rng.randint(1, 9))) for _ in range(3000))
+    solid = "".join(rng.choice("etaoinsrhlé") for _ in range(4000))
+    for text in (prose, solid, solid + "\n\n" + prose[:500], " " * 700):
+        before = encoder.search.streamed
+        commits = list(encoder.search.stream([pieces.normalized(text)]))
+        assert len(commits) > len(text) / (4 * encoder.search.longest)
+        assert [encoder.pieces.ids[p] for c in commits for p in c if p in encoder.pieces.ids] == [
+            i for i in library.encode(text) if i not in encoder.pieces.bytes_
+        ]
+        assert encoder.search.streamed - before == len(pieces.normalized(text))
+        before = encoder.search.streamed
+        assert np.frombuffer(encoder.encode(text), np.int32).tolist() == library.encode(text)
+        assert encoder.search.streamed - before == len(pieces.normalized(text))
 
 
 # near duplicates
@@ -315,6 +339,47 @@ def test_languages_are_told_apart_and_others_rejected(spark, docs):
     assert lang.identify(docs([]), model).count() == 0
 
 
+def test_unseen_languages_are_rejected_and_known_ones_kept(spark, docs):
+    rng = random.Random(15)
+    kinds = {"aa": ["tho", "ing", "re", "an", "ed"], "bb": ["sch", "ei", "ung", "ße", "der"], "cc": ["que", "oir", "lé", "nou"]}
+    train = [(made_up(rng, s, rng.randint(30, 90)), k) for k, s in kinds.items() if k != "cc" for _ in range(150)]
+    # a few labels are wrong: they must not set the limits
+    train += [(made_up(rng, kinds["cc"], 60), "aa") for _ in range(3)]
+    model = lang.fit(spark.createDataFrame(train, "text string, lang string"))
+    known = [made_up(rng, kinds[k], 40) for k in ("aa", "bb") for _ in range(150)]
+    mixed = [made_up(rng, kinds["aa"], 50) + " " + made_up(rng, kinds["bb"], 3) for _ in range(20)]
+    unseen = [made_up(rng, kinds["cc"], 40)[:100] for _ in range(100)]
+    got = [r.rejected for r in lang.identify(docs(numbered(known + mixed + unseen)), model).select("language.rejected").collect()]
+    assert sum(got[:300]) <= 3 and not any(got[300:320]) and sum(got[320:]) >= 90
+
+
+def test_cross_entropies_are_those_of_a_plain_back_off():
+    rng = random.Random(16)
+    texts = {"aa": [made_up(rng, ["tho", "in", "é"], 12).lower()[:-1] for _ in range(6)], "bb": ["zu zu sch", "語 uu", "t"]}
+    grams = {k: {g: (p, w) for g, p, w in lang.kneser_ney(t)} for k, t in texts.items()}
+    rows = pd.DataFrame([(k, g, p, w) for k, seen in grams.items() for g, (p, w) in seen.items()], columns=["lang", "gram", "logp", "weight"])
+    model = lang.assemble(rows)
+
+    def plain(seen, text):
+        padded, total = " " * (lang.ORDER - 1) + text, 0.0
+        for i in range(len(text)):
+            h, c = padded[i : i + lang.ORDER - 1], padded[i + lang.ORDER - 1]
+            while h and seen.get(h + c, (None, None))[0] is None:
+                total += seen.get(h, (None, None))[1] or 0.0
+                h = h[1:]
+            known = seen.get(h + c, (None, None))[0]
+            total += known if known is not None else (seen[""][1] or 0.0) - math.log(lang.ALPHABET)
+        return -total / max(len(text), 1)
+
+    tests = ["thothoin é", "", "zu sch", "qqq 語", "t", "x" * 3000, texts["aa"][0] + " zu"]
+    packed = [t.encode() for t in tests]
+    got, lengths = lang.cross_entropies(model, np.frombuffer(b"".join(packed), np.uint8), np.cumsum([0, *map(len, packed)]))
+    assert lengths.tolist() == [len(t) for t in tests]
+    for i, t in enumerate(tests):
+        for j, k in enumerate(model.languages):
+            assert math.isclose(got[i, j], plain(grams[k], t), rel_tol=1e-4, abs_tol=1e-6)
+
+
 def test_kneser_ney_sums_to_one():
     rows = {g: (p, w) for g, p, w in lang.kneser_ney(["abab", "abc", "ba"], 3)}
     letters = sorted({c for t in ("abab", "abc", "ba") for c in t} | {" "})
