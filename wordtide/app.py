@@ -74,8 +74,9 @@ def run_job(
 
 
 def feed(spark: SparkSession, corpus: str, messages: str, key: str = "words") -> None:
-    """Append the words of a text file to a folder of messages."""
-    words = src.corpus_messages(spark, corpus, key, src.next_number(spark, messages, key))
+    """Append the words of a text file, or of a folder of them, to a folder of messages."""
+    first, work = src.next_number(spark, messages, key), st.run_folder(spark, "corpus")
+    words = src.corpus_messages(spark, corpus, key, first, work=work)
     words.withColumn("ts", F.current_timestamp()).write.mode("append").parquet(messages)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wordtide import operators as op
 from wordtide import sources
+from wordtide import streaming as st
 from wordtide.fixed import CHANNELS, RAW_MESSAGES
 from wordtide.plans import bindings as b
 from wordtide.sources import ingest, table
@@ -59,6 +60,15 @@ def filter_long_negative(spark: SparkSession, folder: str) -> DataFrame:
     return op.long_negative_words(b.words(spark, folder))
 
 
+@query
+def corpus_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document, behind its id, as lines of text files in the order of ids; the words of those files."""
+    run = st.run_folder(spark, "corpus")
+    line = F.concat_ws(" ", "doc_id", "text").alias("value")
+    b.documents(spark, folder).orderBy("doc_id").select(line).write.text(f"{run}/texts")
+    return sources.corpus_words(spark, f"{run}/texts", f"{run}/cut").select("seq", "word")
+
+
 # --- metrics -------------------------------------------------------------------------------
 
 

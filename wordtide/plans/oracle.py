@@ -155,6 +155,9 @@ def _filter(condition: str) -> str:
 
 ORACLE: dict[str, str] = {
     "tokenize_words": f"WITH {WORDS} SELECT doc_id, pos, word FROM words",
+    "corpus_words": f"""WITH documents AS (
+            SELECT doc_id, lang, doc_id || ' ' || coalesce(text, '') AS text FROM main.documents
+        ), {WORDS} SELECT row_number() OVER (ORDER BY doc_id, pos) - 1 AS seq, word FROM words""",
     "classify_words": f"""WITH {WORDS} SELECT doc_id, pos, word, length(word) > 3 AS is_long,
         length(word) > 3 AND ascii(word) > 110 AS is_positive FROM words""",
     "filter_long": _filter("length(word) > 3"),

@@ -1,6 +1,6 @@
 """Sources: keyed messages, text corpora, ticks."""
 
-from wordtide.sources.corpus import corpus_messages, next_number, read_corpus
+from wordtide.sources.corpus import corpus_messages, corpus_words, next_number, read_corpus
 from wordtide.sources.messages import (
     ingest,
     ingest_list,
@@ -16,6 +16,7 @@ from wordtide.sources.ticks import heartbeat_stream, ticks
 
 __all__ = [
     "corpus_messages",
+    "corpus_words",
     "heartbeat_stream",
     "ingest",
     "ingest_list",
