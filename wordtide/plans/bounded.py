@@ -189,11 +189,21 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def channel_fanout(spark: SparkSession, folder: str) -> DataFrame:
-    """Messages that reach the subscribers of each channel; one more channel has no subscriber."""
-    metrics = document_envelopes(spark, folder).select("channel")
-    unheard = metrics.where(F.col("channel") == METRIC_CHANNELS[0]).select(F.lit(UNSUBSCRIBED).alias("channel"))
-    raw = op.raw_messages(b.batched_words(spark, folder)).select("channel")
-    return op.channel_totals(op.subscribe(metrics.unionByName(unheard).unionByName(raw)))
+    """Published messages that reach the subscribers of each channel; one more channel has no subscriber.
+
+    Texts are read and cut once: the raw channel is written first, and metrics come from what was written.
+    """
+    run = st.run_folder(spark, "fanout")
+    raw, told = f"{run}/raw", f"{run}/metrics"
+    words = b.batched_words(spark, folder, blanks=True)
+    words.select("batch", F.lit(RAW_MESSAGES).alias("channel"), F.col("word").alias("message")).write.parquet(raw)
+    written = spark.read.parquet(raw).select("batch", F.col("message").alias("word"))
+    metrics = op.channel_envelopes(written, ["batch"], b.doc_batch_time())
+    twice = F.when(F.col("channel") == METRIC_CHANNELS[0], F.lit(UNSUBSCRIBED))
+    to = F.explode(F.array_compact(F.array("channel", twice))).alias("channel")
+    metrics.select("batch", to, "message").write.parquet(told)
+    published = spark.read.parquet(raw, told).where("message IS NOT NULL")  # without heartbeats
+    return op.channel_totals(op.subscribe(published))
 
 
 @query
