@@ -507,6 +507,61 @@ def test_model_learns_what_follows_what(docs):
     assert got[0].score > got[0].base_score + 5 and got[0].score > got[1].score + 5
 
 
+def test_words_beyond_the_top_ones_are_learned_in_context(docs, monkeypatch):
+    monkeypatch.setattr(lm, "TOP", 2)
+    rng = random.Random(21)
+    ring = [f"w{i}" for i in range(12)]
+    texts = [" ".join(ring[(k + i) % 12] for i in range(24)) for k in (rng.randrange(12) for _ in range(200))]
+    mixed = " ".join(rng.sample([w for w in ring for _ in range(2)], 24))
+    got = {r.doc_id: r for r in lm.score(docs(numbered([texts[0], mixed])), docs(numbered(texts))).collect()}
+    assert sorted(texts[0].split()) == sorted(mixed.split()) and got[0].score > got[0].base_score + 5 and got[0].score > got[1].score + 5
+
+
+def test_scores_over_words_with_parameters_bins_and_unseen_words_sum_to_one(docs, monkeypatch):
+    for name, value in {"TOP": 3, "FREQUENT": 30, "BIN_WORDS": 4}.items():
+        monkeypatch.setattr(lm, name, value)
+    rng = random.Random(22)
+    # 20 words often, 40 of about eight times, which are too many for tasks, 20 once
+    words = [w for n, k in ((20, 30), (40, 8), (20, 1)) for i in range(n) for w in [f"v{n}k{k}i{i}"] * k]
+    rng.shuffle(words)
+    learn = docs(numbered([" ".join(words[i : i + 10]) for i in range(0, len(words), 10)])).coalesce(1)
+    model = lm.fit(learn, lm.word_counts(learn))
+    assert len(model.lookup.h1) == 20 and model.lookup.bits == 3 and model.bin_words.sum() == 60
+    tried = [*sorted(set(words)), "never"]
+    got = {r.doc_id: r.score for r in lm.score(docs(numbered(tried)), learn).collect()}
+    total = 10 ** lm.score(docs(numbered([""])), learn).first().score
+    for i, word in enumerate(tried):
+        data = np.frombuffer(word.encode(), np.uint8)
+        at = np.array([0]), np.array([len(data)])
+        own = lm._classes(model.lookup, text.span_hashes(data, *at), text.second_hashes(data, *at))[0][0]
+        end = model.parameters.log_probabilities(np.array([[model.lookup.end, own]]))[0][model.lookup.end] / math.log(10)
+        total += 10 ** (got[i] - end)
+    assert abs(total - 1) < 1e-3
+
+
+def test_steps_of_the_tree_make_the_probabilities_of_all_classes(monkeypatch):
+    monkeypatch.setattr(lm, "LEAVES", 16)
+    monkeypatch.setattr(lm, "GROUPS", 2)
+    draw = np.random.default_rng(23)
+    p = lm.Parameters.start(draw.random(100) + 0.01, 3)
+    p.word += draw.standard_normal(p.word.shape).astype(np.float32)
+    contexts = draw.integers(0, 100, (5, 2))
+    table = p.log_probabilities(contexts)
+    assert table.shape == (5, 100) and np.allclose(np.exp(table).sum(axis=1), 1, atol=1e-5)
+    at, classes = draw.integers(0, 5, 400), draw.integers(0, 100, 400)
+    unseen = draw.random(8)
+    got, part = p.chosen(contexts, at, classes, unseen)
+    assert np.allclose(got, table[at, classes], atol=1e-4)
+    bins = (classes > 3) & (classes < 12)
+    assert np.allclose((got + part)[bins], np.log(np.exp(table[at, 4:12]) @ unseen)[bins], atol=1e-4)
+
+
+def test_top_words_are_found_among_words_of_equal_counts(docs, monkeypatch):
+    monkeypatch.setattr(lm, "FREQUENT", 4)
+    learn = docs(numbered([" ".join(f"e{i}" for i in range(20))] * 3))
+    assert len(lm.fit(learn, lm.word_counts(learn)).lookup.h1) == 20
+
+
 def test_class_probabilities_sum_to_one():
     p = lm.Parameters.start(np.array([0.5, 0.3, 0.2]))
     assert np.allclose(np.exp(p.log_probabilities(np.array([[0, 1], [2, 2]]))).sum(axis=1), 1, atol=1e-5)

@@ -6,20 +6,27 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordtide.llm import text as tx
 from wordtide.llm.store import written
 
 DIM, CONTEXT, NOISE, BATCH = 16, 2, 64, 16_384
+# Noise words that an example has for itself in each step below the first.
+INNER = 4
 # Updates that a task makes at least, going over its examples again if they are few.
 STEPS = 100
-# Classes are this many most frequent words, the end, and all other words together.
+# This many most frequent words, and the end, are reached in one step; all other words in three.
 TOP = 254
-# Words whose counts go to every task; counts of other words stay on the cluster.
+# Groups of a section, and outcomes of a group.
+GROUPS, LEAVES = 32, 256
+# Words with parameters and a count in every task; the others are dealt to bins, and their counts stay on the cluster.
 FREQUENT = 1 << 18
+# Bins have this many words on average, until there are 2^MOST_BIN_BITS of them, a group.
+BIN_WORDS, MOST_BIN_BITS = 256, 8
 # Examples that a task gathers before it trains on them.
 EXAMPLES = 4_000_000
 END = (1, 1)
@@ -27,7 +34,7 @@ END = (1, 1)
 
 @dataclass
 class Lookup:
-    """Sorted word hashes with a count and a class; ``rest`` is the class of words that are not top.
+    """Sorted word hashes with a count and a class, its own; other words have the class ``rest`` plus their bin.
 
     The end is no word: it has a class and a count of its own, ``ends``, and is never looked up.
     """
@@ -39,6 +46,7 @@ class Lookup:
     end: int
     rest: int
     ends: int
+    bits: int = 0
 
     def find(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows, whether found)."""
@@ -47,48 +55,168 @@ class Lookup:
         at = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
         return at, (self.h1[at] == h1) & (self.h2[at] == h2)
 
+    def bins(self, h1: np.ndarray) -> np.ndarray:
+        """The bin of each word: the first bits of its hash."""
+        return (h1 >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(h1), np.int64)
+
+
+@dataclass
+class Tree:
+    """Classes 0 to ``top`` are reached in one step; the others, ``LEAVES`` a group, by section, group and class.
+
+    A step is a choice among neighbouring rows: of the first classes and all sections, of the groups of a
+    section, or of the classes of a group. Bins come right after ``top``, so one group holds them all.
+    """
+
+    top: int
+    classes: int
+
+    def __post_init__(self) -> None:
+        self.tail = self.classes - self.top - 1
+        self.groups = -(-self.tail // LEAVES)
+        self.head = self.top + 1 + -(-self.groups // GROUPS)
+        self.rows = self.head + self.groups + self.tail
+
+    def first(self, classes: np.ndarray) -> np.ndarray:
+        """The row of the first step to each class."""
+        return np.where(classes <= self.top, classes, self.top + 1 + (classes - self.top - 1) // (LEAVES * GROUPS))
+
+    def later(self, classes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, first row, number of rows to choose from) of the second and third step to classes beyond ``top``."""
+        at = classes - self.top - 1
+        out = []
+        for row, n, size, before in [(at // LEAVES, self.groups, GROUPS, self.head), (at, self.tail, LEAVES, self.head + self.groups)]:
+            low = row // size * size
+            out.append((before + row, before + low, np.minimum(n - low, size)))
+        return out
+
+    def summed(self, shares: np.ndarray) -> np.ndarray:
+        """The share of each row among those of its step."""
+        tail = shares[self.top + 1 :]
+        if not len(tail):
+            return shares / shares.sum()
+        groups = np.add.reduceat(tail, np.arange(0, self.tail, LEAVES))
+        sections = np.add.reduceat(groups, np.arange(0, self.groups, GROUPS))
+        return np.concatenate([
+            np.append(shares[: self.top + 1], sections) / shares.sum(),
+            groups / np.repeat(sections, GROUPS)[: self.groups],
+            tail / np.repeat(groups, LEAVES)[: self.tail],
+        ])
+
 
 @dataclass
 class Parameters:
-    """Of the model: s(w | h) = sum over places i of (place_i * context_{h_i}) . word_w + bias_w."""
+    """Of the model: in each step s(row | h) = sum over places i of (place_i * context_{h_i}) . word_row + bias_row.
+
+    Every class has a context vector, every row of the tree a word vector. Below the first step a bias is
+    the logarithm of a share of the corpus and stays so.
+    """
 
     context: np.ndarray
     place: np.ndarray
     word: np.ndarray
     bias: np.ndarray
+    tree: Tree
 
     @staticmethod
-    def start(shares: np.ndarray) -> Parameters:
+    def start(shares: np.ndarray, top: int | None = None) -> Parameters:
         draw = np.random.Generator(np.random.PCG64(11))
-        n = len(shares)
-        small = lambda: (draw.standard_normal((n, DIM)) * 0.1).astype(np.float32)
-        return Parameters(small(), np.ones((CONTEXT, DIM), np.float32), small(), np.log(shares).astype(np.float32))
+        tree = Tree(len(shares) - 1 if top is None else top, len(shares))
+        small = lambda n: (draw.standard_normal((n, DIM), np.float32) * np.float32(0.1))
+        # below the first step, words are told apart by their shares alone until they are learned
+        word = np.concatenate([small(tree.head), np.zeros((tree.rows - tree.head, DIM), np.float32)])
+        return Parameters(small(len(shares)), np.ones((CONTEXT, DIM), np.float32), word, np.log(tree.summed(shares)).astype(np.float32), tree)
 
     def parts(self) -> list[np.ndarray]:
         return [self.context, self.place, self.word, self.bias]
 
-    def packed(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parts()]).astype(np.float64)
-
-    def unpacked(self, values: np.ndarray) -> Parameters:
-        cut = np.cumsum([p.size for p in self.parts()])[:-1]
-        return Parameters(*(v.reshape(p.shape).astype(np.float32) for v, p in zip(np.split(values, cut), self.parts(), strict=True)))
+    def rows(self, at: np.ndarray) -> np.ndarray:
+        """The numbered rows of context, word (with its bias) and place, one after the other."""
+        n, out = len(self.context), np.zeros((len(at), DIM + 1), np.float32)
+        kinds = np.searchsorted([n, n + self.tree.rows], at, "right")
+        for kind, (part, before) in enumerate([(self.context, 0), (self.word, n), (self.place, n + self.tree.rows)]):
+            out[kinds == kind, :DIM] = part[at[kinds == kind] - before]
+        out[kinds == 1, DIM] = self.bias[at[kinds == 1] - n]
+        return out
+
+    def replaced(self, at: np.ndarray, values: np.ndarray) -> Parameters:
+        """With other values in the numbered rows."""
+        n, new = len(self.context), Parameters(*(x.copy() for x in self.parts()), self.tree)
+        kinds = np.searchsorted([n, n + self.tree.rows], at, "right")
+        for kind, (part, before) in enumerate([(new.context, 0), (new.word, n), (new.place, n + self.tree.rows)]):
+            part[at[kinds == kind] - before] = values[kinds == kind, :DIM]
+        first = (kinds == 1) & (at - n < self.tree.head)
+        new.bias[at[first] - n] = values[first, DIM]
+        return new
+
+    def step(self, predicted: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Normalized log probabilities of the rows ``low`` to ``high``, one step of the tree."""
+        logits = predicted @ self.word[low:high].T + self.bias[low:high]
+        logits -= logits.max(axis=1, keepdims=True)
+        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
     def log_probabilities(self, contexts: np.ndarray) -> np.ndarray:
         """Normalized log probabilities of all classes after each context (a row of classes, nearest last)."""
-        logits = self.predicted(contexts) @ self.word.T + self.bias
-        top = logits.max(axis=1, keepdims=True)
-        return logits - top - np.log(np.exp(logits - top).sum(axis=1, keepdims=True))
+        t, r = self.tree, self.predicted(contexts)
+        first = self.step(r, 0, t.head)
+        out = [first[:, : t.top + 1]]
+        for section, low in enumerate(range(0, t.groups, GROUPS)):
+            groups = self.step(r, t.head + low, t.head + min(low + GROUPS, t.groups)) + first[:, [t.top + 1 + section]]
+            for i, group in enumerate(groups.T):
+                at = (low + i) * LEAVES
+                out.append(self.step(r, t.head + t.groups + at, t.head + t.groups + min(at + LEAVES, t.tail)) + group[:, None])
+        return np.concatenate(out, axis=1)
+
+    def chosen(self, contexts: np.ndarray, at: np.ndarray, classes: np.ndarray, unseen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log probabilities of ``classes``, each after the context ``contexts[at]``: only the steps to it are taken.
+
+        Then, for bins (the classes after ``top``), the log of what the shares ``unseen`` of all bins make
+        together, as a part of the probability of the one bin.
+        """
+        t, out, part_unseen = self.tree, np.zeros(len(classes)), np.zeros(len(classes))
+        predicted, first = self.predicted(contexts), self.tree.first(classes)
+        sort = np.argsort(at, kind="stable")
+        cuts = np.searchsorted(at[sort], np.arange(0, len(contexts) + 4096, 4096))
+        for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            table = self.step(predicted[i * 4096 : (i + 1) * 4096], 0, t.head)
+            part = sort[low:high]
+            out[part] = table[at[part] - i * 4096, first[part]]
+        deep = np.flatnonzero(classes > t.top)
+        deep = deep[np.argsort(classes[deep], kind="stable")]
+        for row, start, size in t.later(classes[deep]):
+            cuts = np.append(np.flatnonzero(np.append(True, start[1:] != start[:-1])), len(deep)) if len(deep) else [0]
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                for some in range(low, high, 16_384):
+                    part = slice(some, min(some + 16_384, high))
+                    table = self.step(predicted[at[deep[part]]], start[low], start[low] + size[low])
+                    own = table[np.arange(len(table)), row[part] - start[low]]
+                    out[deep[part]] += own
+                    if start[low] == t.head + t.groups:  # the group of the bins
+                        part_unseen[deep[part]] = np.log(np.exp(table[:, : len(unseen)]) @ unseen) - own
+        return out, part_unseen
 
     def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        return np.einsum("bid,id->bd", self.context[contexts], self.place)
+        return sum(self.context[contexts[:, i]] * self.place[i] for i in range(CONTEXT))
+
+
+def _ascend(x: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray, rate: float) -> None:
+    """Adagrad, in place, of the rows that have gradients; a row may have many."""
+    sort = np.argsort(rows)
+    rows = rows[sort]
+    fresh = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    g, at = np.add.reduceat(grads[sort], fresh, axis=0), rows[fresh]
+    s = squares[at] + g * g
+    squares[at] = s
+    x[at] += rate * g / np.sqrt(s)
 
 
 def train(p: Parameters, contexts: np.ndarray, words: np.ndarray, weights: np.ndarray, shares: np.ndarray, rate: float = 0.1) -> None:
     """Adagrad on noise-contrastive estimation, in place: one pass, or as many as make ``STEPS`` updates.
 
-    Each example tells its word from words drawn from ``shares``; a batch shares its noise.
+    In each step to its word, an example tells the row from others: in the first from rows drawn from
+    ``shares``, which a batch has in common, and in later ones from ``INNER`` drawn evenly from the step's rows.
     """
+    t = p.tree
     draw = np.random.Generator(np.random.PCG64(13))
     squares = [np.full(x.shape, 1e-6, np.float32) for x in p.parts()]
     log_noise = np.log(NOISE * shares).astype(np.float32)
@@ -98,24 +226,37 @@ def train(p: Parameters, contexts: np.ndarray, words: np.ndarray, weights: np.nd
     for low in range(0, len(mixed), size):
         at = mixed[low : low + size]
         h, w, wt = contexts[at], words[at], (weights[at] / weights[at].sum()).astype(np.float32)
-        noise = draw.choice(len(shares), NOISE, p=shares)
-        r = p.predicted(h)
-        real = np.einsum("bd,bd->b", r, p.word[w]) + p.bias[w] - log_noise[w]
+        noise, row = draw.choice(len(shares), NOISE, p=shares), t.first(w)
+        r, own = p.predicted(h), p.word[row]
+        real = np.einsum("bd,bd->b", r, own) + p.bias[row] - log_noise[row]
         fake = r @ p.word[noise].T + p.bias[noise] - log_noise[noise]
         gain = wt / (1 + np.exp(real))
         loss = -wt[:, None] / (1 + np.exp(-fake))
-        pull = gain[:, None] * p.word[w] + loss @ p.word[noise]
-        grads = [np.zeros_like(x) for x in p.parts()]
-        for i in range(CONTEXT):
-            np.add.at(grads[0], h[:, i], pull * p.place[i])
-            grads[1][i] = (pull * p.context[h[:, i]]).sum(axis=0)
-        np.add.at(grads[2], w, gain[:, None] * r)
-        np.add.at(grads[2], noise, loss.T @ r)
-        np.add.at(grads[3], w, gain)
-        np.add.at(grads[3], noise, loss.sum(axis=0))
-        for x, g, s in zip(p.parts(), grads, squares, strict=True):
-            s += g * g
-            x += rate * g / np.sqrt(s)
+        pull = gain[:, None] * own + loss @ p.word[noise]
+        rows, grads = [row, noise], [gain[:, None] * r, loss.T @ r]
+        biases = np.bincount(np.concatenate(rows), np.concatenate([gain, loss.sum(axis=0)]), t.head).astype(np.float32)
+        deep = np.flatnonzero(w > t.top)
+        for row, start, among in t.later(w[deep]):
+            some = np.flatnonzero(among > 1)
+            if not len(some):
+                continue
+            row, start, among, here = row[some], start[some], among[some], deep[some]
+            rd, own, log_even = r[here], p.word[row], np.log(INNER / among).astype(np.float32)
+            others = start[:, None] + (draw.random((len(here), INNER)) * among[:, None]).astype(np.int64)
+            theirs = p.word[others]
+            real = np.einsum("bd,bd->b", rd, own) + p.bias[row] - log_even
+            fake = np.einsum("bd,bkd->bk", rd, theirs) + p.bias[others] - log_even[:, None]
+            gain = wt[here] / (1 + np.exp(real))
+            loss = -wt[here][:, None] / (1 + np.exp(-fake))
+            pull[here] += gain[:, None] * own + np.einsum("bk,bkd->bd", loss, theirs)
+            rows += [row, others.ravel()]
+            grads += [gain[:, None] * rd, (loss[:, :, None] * rd[:, None, :]).reshape(-1, DIM)]
+        places = np.stack([(pull * p.context[h[:, i]]).sum(axis=0) for i in range(CONTEXT)])
+        pulls = np.concatenate([pull * p.place[i] for i in range(CONTEXT)])
+        _ascend(p.context, squares[0], h.T.ravel(), pulls, rate)
+        _ascend(p.place, squares[1], np.arange(CONTEXT), places, rate)
+        _ascend(p.word, squares[2], np.concatenate(rows), np.concatenate(grads), rate)
+        _ascend(p.bias, squares[3], np.arange(t.head), biases, rate)
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,11 +271,11 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return h1, h2, bounds + np.arange(texts + 1)
 
 
-def _summed(h1: np.ndarray, h2: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _summed(h1: np.ndarray, h2: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     sort = np.lexsort((h2, h1))
-    h1, h2, n = h1[sort], h2[sort], n[sort]
+    h1, h2 = h1[sort], h2[sort]
     fresh = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))) if len(h1) else np.zeros(0, np.int64)
-    return h1[fresh], h2[fresh], np.add.reduceat(n, fresh) if len(fresh) else n
+    return h1[fresh], h2[fresh], *(np.add.reduceat(x[sort], fresh) if len(fresh) else x for x in values)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,25 +309,38 @@ def _contexts(classes: np.ndarray, bounds: np.ndarray, end: int) -> np.ndarray:
 
 def _classes(lookup: Lookup, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     row, found = lookup.find(h1, h2)
-    if not len(lookup.h1):
-        return np.where(h1 == END[0], lookup.end, lookup.rest), row, found
-    classes = np.where(found, lookup.classes[row], lookup.rest)
+    classes = np.where(found, lookup.classes[row], 0) if len(lookup.h1) else np.zeros(len(h1), np.int64)
+    classes[~found] = lookup.rest + lookup.bins(h1[~found])
     classes[(h1 == END[0]) & (h2 == END[1])] = lookup.end
     return classes, row, found
 
 
-def _trainer(shared, shares: np.ndarray):
+VALUES = [f"v{i}" for i in range(DIM + 1)]
+TRAINED = f"at int, weight double, {', '.join(f'{v} float' for v in VALUES)}"
+
+
+def _trainer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup: Lookup = shared.value
-        p, n, trained = Parameters.start(shares), len(shares), 0.0
+        lookup, shares, top = shared.value
+        p, n, trained = Parameters.start(shares, top), len(shares), 0.0
+        t = p.tree
+        drawn = t.summed(shares)[: t.head]
         held: list[np.ndarray] = []
+        # how often each row of context and word was learned from
+        seen = [np.zeros(n), np.zeros(t.rows)]
 
         def learn() -> float:
             codes, weights = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
             words, before = codes % n, codes // n
             contexts = np.stack([before // n ** (CONTEXT - 1 - i) % n for i in range(CONTEXT)], axis=1)
-            train(p, contexts, words, weights.astype(np.float64), shares)
+            weights = weights.astype(np.float64)
+            for column in contexts.T:
+                seen[0] += np.bincount(column, weights, n)
+            deep = words > t.top
+            for row, _, _ in t.later(words[deep]):
+                seen[1] += np.bincount(row, weights[deep], t.rows)
+            train(p, contexts, words, weights, drawn)
             return float(weights.sum())
 
         for batch in batches:
@@ -202,10 +356,16 @@ def _trainer(shared, shares: np.ndarray):
         if held:
             trained += learn()
         if trained:
-            values = p.packed()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(values)), pa.int32()), pa.array(values), pa.array(np.full(len(values), trained))], ["at", "value", "weight"]
-            )
+            # rows of the first step and places are learned from every token
+            seen[1][: t.head] = trained
+            weights = np.concatenate([*seen, np.full(CONTEXT, trained)])
+            learned = np.flatnonzero(weights)
+            for low in range(0, len(learned), 1 << 15):
+                at = learned[low : low + (1 << 15)]
+                values = p.rows(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at, pa.int32()), pa.array(weights[at]), *(pa.array(v) for v in np.ascontiguousarray(values.T))], ["at", "weight", *VALUES]
+                )
 
     return run
 
@@ -219,13 +379,12 @@ class Model:
     discount: float
     rest_tokens: int
     rest_words: int
+    bin_tokens: np.ndarray
+    bin_words: np.ndarray
 
-    def log_rest(self, counts: np.ndarray) -> np.ndarray:
-        """log10 of the share of a word among the words that are not top; a count of 0 is any unseen word."""
-        if not self.rest_tokens:
-            return np.zeros(len(counts))
-        unseen = self.discount * self.rest_words
-        return np.log10(np.where(counts > 0, counts - self.discount, unseen) / self.rest_tokens)
+    def unseen(self) -> np.ndarray:
+        """The share of words never seen in each bin."""
+        return np.where(self.bin_tokens > 0, self.discount * self.bin_words / np.maximum(self.bin_tokens, 1), 1.0)
 
     def log_base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.tokens + self.words + 1))
@@ -238,94 +397,103 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return written(counted.groupBy("h1", "h2").agg(F.sum("c").alias("c")), "word-counts")
 
 
+def _bin(bits: int) -> Column:
+    return F.shiftrightunsigned("h1", 64 - bits).cast("int") if bits else F.lit(0)
+
+
 def fit(docs: DataFrame, counts: DataFrame) -> Model:
     """A model of all texts of ``docs``, with their ``counts``.
 
-    Every task trains on all of its texts from the same start; parameters are averaged, weighted by
-    tokens. Only the most frequent words are classes of the model; the share of any other word
-    within their class comes from the counts, with a discount that is left to unseen words.
+    Every task trains on all of its texts from the same start; parameters are averaged, weighted by how
+    often they were learned from. The most frequent words, ``FREQUENT`` at most, are classes with
+    parameters of their own, as words and as contexts. All words beyond, and those that occur once, are
+    dealt to bins by their hashes, and bins are classes; the share of a word within its bin comes from
+    the counts, with a discount that is left to unseen words.
     """
     spark = docs.sparkSession
-    total, words, ones, twos = counts.agg(
-        F.sum("c"), F.count("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
+    is_end = (F.col("h1") == END[0]) & (F.col("h2") == END[1])
+    total, words, ones, twos, ends = counts.agg(
+        F.sum("c"), F.count("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.sum(F.when(is_end, F.col("c")))
     ).first()
-    total = total or 0
-    # the lowest power of two that at most FREQUENT words reach
-    by_power = {r["k"]: r["n"] for r in counts.groupBy(F.floor(F.log2("c")).alias("k")).agg(F.count("*").alias("n")).collect()}
+    total, ends = total or 0, ends or 0
+    spread = counts.filter(~is_end)
+    # the lowest power of two, from 2, that at most FREQUENT words reach
+    by_power = {r["k"]: r["n"] for r in spread.groupBy(F.floor(F.log2("c")).alias("k")).agg(F.count("*").alias("n")).collect()}
     power, held = max(by_power, default=0) + 1, 0
-    while power > 0 and held + by_power.get(power - 1, 0) <= FREQUENT:
+    while power > 1 and held + by_power.get(power - 1, 0) <= FREQUENT:
         power -= 1
         held += by_power.get(power, 0)
-    known = counts.filter(F.col("c") >= 1 << power).toPandas()
-    is_end = ((known["h1"] == END[0]) & (known["h2"] == END[1])).to_numpy()
-    ends = int(known.loc[is_end, "c"].sum())
-    known = known[~is_end].sort_values(["c", "h1", "h2"], ascending=[False, True, True]).reset_index(drop=True)
+    known = spread.filter(F.col("c") >= 1 << power).toPandas()
+    if len(known) < TOP:  # a power that more words reach than may go to tasks has the next of the top words all the same
+        more = spread.filter(F.col("c").between(2, (1 << power) - 1)).orderBy(F.desc("c"), "h1", "h2").limit(TOP - len(known)).toPandas()
+        known = pd.concat([known, more], ignore_index=True) if len(more) else known
+    known = known.sort_values(["c", "h1", "h2"], ascending=[False, True, True]).reset_index(drop=True)
     top = min(TOP, len(known))
-    end, rest = top, top + 1
-    classes = np.where(np.arange(len(known)) < top, np.arange(len(known)), rest)
     h1 = known["h1"].to_numpy(np.int64).view(np.uint64)
     sort = np.argsort(h1)
     c = known["c"].to_numpy(np.int64)
-    if not ends and total:
-        ends = counts.filter((F.col("h1") == END[0]) & (F.col("h2") == END[1])).agg(F.sum("c")).first()[0] or 0
-    lookup = Lookup(h1[sort], known["h2"].to_numpy(np.int64).view(np.uint64)[sort], c[sort], classes[sort], end, rest, ends)
-    rest_tokens, rest_words = total - int(c[:top].sum()) - ends, words - top - (ends > 0)
-    shares = np.concatenate([c[:top], [ends, rest_tokens]]).astype(np.float64) + 1
+    rest_tokens, rest_words = total - int(c.sum()) - ends, words - len(known) - (ends > 0)
+    bits = min(max(rest_words // BIN_WORDS, 1).bit_length() - 1, MOST_BIN_BITS)
+    # classes: top words, the end, bins, other known words
+    end, rest, rank = top, top + 1, np.arange(len(known))
+    classes = np.where(rank < top, rank, rank + 1 + (1 << bits))
+    lookup = Lookup(h1[sort], known["h2"].to_numpy(np.int64).view(np.uint64)[sort], c[sort], classes[sort], end, rest, ends, bits)
+    bins = np.zeros((2, 1 << bits), np.int64)
+    for r in spread.filter(F.col("c") < 1 << power).groupBy(_bin(bits).alias("bin")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
+        bins[:, r["bin"]] = r["c"], r["n"]
+    low = c < 1 << power
+    np.subtract.at(bins[0], lookup.bins(h1[low]), c[low])
+    np.subtract.at(bins[1], lookup.bins(h1[low]), 1)
+    shares = np.concatenate([c[:top], [ends], bins[0], c[top:]]).astype(np.float64) + 1
     shares /= shares.sum()
-    start = Parameters.start(shares)
+    start = Parameters.start(shares, top)
     trained = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        _trainer(spark.sparkContext.broadcast(lookup), shares), "at int, value double, weight double"
+        _trainer(spark.sparkContext.broadcast((lookup, shares, top))), TRAINED
     )
-    mean = trained.groupBy("at").agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value")).toPandas()
-    values = mean.sort_values("at")["value"].to_numpy() if len(mean) else start.packed()
+    weight = F.col("weight")
+    mean = trained.groupBy("at").agg(*((F.sum(F.col(v) * weight) / F.sum(weight)).cast("float").alias(v) for v in VALUES)).toArrow()
+    values = np.stack([mean.column(v).to_numpy() for v in VALUES], axis=1)
     discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-    return Model(lookup, start.unpacked(values), int(total), int(words), discount, rest_tokens, rest_words)
+    parameters = start.replaced(mean.column("at").to_numpy(), values)
+    return Model(lookup, parameters, int(total), int(words), discount, rest_tokens, rest_words, *bins)
 
 
-SCORED = "n_tokens bigint, n_known bigint, base double, model double, rare array<struct<h1: bigint, h2: bigint, n: bigint>>"
+SCORED = "n_tokens bigint, n_known bigint, base double, model double, rare array<struct<h1: bigint, h2: bigint, n: bigint, unseen: double>>"
 
 
 def _scorer(shared):
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m: Model = shared.value
-        n = len(m.parameters.bias)
+        n = m.parameters.tree.classes
         for column in columns:
             parts, rare = [], []
             for _, _, data, offsets in tx.blocks(column):
                 h1, h2, bounds = _tokens(data, offsets)
                 classes, row, found = _classes(m.lookup, h1, h2)
-                # the class of each token after its context, with one matrix product for all contexts
+                # the class of each token after its context; equal contexts are one
                 contexts = _contexts(classes, bounds, m.lookup.end)
                 code = np.zeros(len(classes), np.int64)
                 for place in contexts.T:
                     code = code * n + place
                 distinct, first, at = np.unique(code, return_index=True, return_inverse=True)
-                model = np.zeros(len(code))
-                sort = np.argsort(at, kind="stable")
-                cuts = np.searchsorted(at[sort], np.arange(0, len(distinct) + 4096, 4096))
-                for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    table = m.parameters.log_probabilities(contexts[first[i * 4096 : (i + 1) * 4096]])
-                    part = sort[low:high]
-                    model[part] = table[at[part] - i * 4096, classes[part]] / np.log(10)
+                model, unseen = (x / np.log(10) for x in m.parameters.chosen(contexts[first], at, classes, m.unseen()))
                 counts = m.lookup.counts[row] if len(m.lookup.counts) else np.zeros(len(row))
                 is_end = classes == m.lookup.end
                 counts = np.where(is_end, m.lookup.ends, counts)
                 base = np.where(found | is_end, m.log_base(counts), 0.0)
-                rest = found & (classes == m.lookup.rest)
-                model[rest] += m.log_rest(counts[rest])
                 known = found | is_end & (m.lookup.ends > 0)
                 parts.append((np.diff(bounds), tx.sums(known.astype(np.int64), bounds), tx.exact_sums(base, bounds), tx.exact_sums(model, bounds)))
                 open_ = np.flatnonzero(~found & ~is_end)
                 cut = np.searchsorted(open_, bounds)
                 for low, high in zip(cut[:-1], cut[1:], strict=True):
-                    k1, k2, k = _summed(h1[open_[low:high]], h2[open_[low:high]], np.ones(high - low, np.int64))
-                    rare.append((tx.signed(k1), tx.signed(k2), k))
+                    some = open_[low:high]
+                    rare.append(_summed(h1[some], h2[some], np.ones(high - low, np.int64), unseen[some]))
             if not parts:
                 parts = [tuple(np.zeros(0, t) for t in (np.int64, np.int64, float, float))]
             arrays = [pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)]
             ends = np.concatenate(([0], np.cumsum([len(r[0]) for r in rare]))).astype(np.int32)
-            flat = [np.concatenate(x) for x in zip(*rare, strict=True)] if rare else [np.zeros(0, np.int64)] * 3
-            inner = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in flat], ["h1", "h2", "n"])
+            flat = [np.concatenate(x) for x in zip(*rare, strict=True)] if rare else [np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, float)]
+            inner = pa.StructArray.from_arrays([pa.array(x) for x in (tx.signed(flat[0]), tx.signed(flat[1]), *flat[2:])], ["h1", "h2", "n", "unseen"])
             yield pa.StructArray.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(ends), inner)], ["n_tokens", "n_known", "base", "model", "rare"])
 
     return run
@@ -338,13 +506,13 @@ def score(docs: DataFrame, learn: DataFrame) -> DataFrame:
     a null text is an empty one, with its end alone. All texts of ``learn`` are learned from.
     base_score adds log10((c + 1) / (N + V + 1)) for each token, c being its count, N all tokens and
     V the distinct ones learned from; n_known counts tokens with c > 0. score is the model's log10
-    probability: of each token's class after the two before it, and of the word within its class;
+    probability: of each token's class after the two before it, and, in a bin, of the word within it;
     all words never seen are one word. The end has a class of its own, so its probability is that of
     the class. Without texts to learn from, all is unseen. Columns of ``docs`` other than text are
     kept; one with the name of a result is replaced by it.
 
-    Counts of the most frequent words go to every task (at most ``FREQUENT``). Other words are looked
-    up by a join, one row for each text and distinct word. Repeated rows stay apart.
+    Counts and parameters of the most frequent words go to every task (at most ``FREQUENT``). Other words
+    are looked up by a join, one row for each text and distinct word. Repeated rows stay apart.
     """
     counts = word_counts(learn)
     model = fit(learn, counts)
@@ -361,11 +529,10 @@ def score(docs: DataFrame, learn: DataFrame) -> DataFrame:
     )
     rare = scored.select("row_number", F.inline("scored.rare"))
     c, n = F.coalesce("c", F.lit(0)), F.col("n")
-    unseen = model.discount * model.rest_words
-    share = F.when(c > 0, c - model.discount).otherwise(unseen) / max(model.rest_tokens, 1) if model.rest_tokens else F.lit(1.0)
+    tokens = F.get(F.array(*(F.lit(float(x)) for x in np.maximum(model.bin_tokens, 1))), _bin(model.lookup.bits))
     looked = rare.join(counts, ["h1", "h2"], "left").select(
         "row_number", F.when(c > 0, n).otherwise(0).alias("known"),
-        (n * F.log10((c + 1) / F.lit(float(model.tokens + model.words + 1)))).alias("base"), (n * F.log10(share)).alias("model"),
+        (n * F.log10((c + 1) / F.lit(float(model.tokens + model.words + 1)))).alias("base"), F.when(c > 0, n * F.log10((c - model.discount) / tokens)).otherwise(F.col("unseen")).alias("model"),
     )
     added = looked.groupBy("row_number").agg(*(F.sum(x).alias(f"rare_{x}") for x in ("known", "base", "model")))
     zero = lambda x: F.coalesce(f"rare_{x}", F.lit(0))
