@@ -27,6 +27,8 @@ GROUPS, LEAVES = 32, 256
 FREQUENT = 1 << 18
 # Bins have this many words on average, until there are 2^MOST_BIN_BITS of them, a group.
 BIN_WORDS, MOST_BIN_BITS = 256, 8
+# Contexts whose probabilities are worked out at once: a table that stays in a processor's cache.
+TABLE = 512
 # Examples that a task gathers before it trains on them.
 EXAMPLES = 4_000_000
 END = (1, 1)
@@ -104,6 +106,16 @@ class Tree:
         ])
 
 
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b``, in pieces too small for more threads of the library than the one core that a task has."""
+    n, inner = a.shape
+    rows = max(1, (1 << 17) // (inner * b.shape[1]))
+    out, whole = np.empty((n, b.shape[1]), np.float32), n // rows * rows
+    np.matmul(a[:whole].reshape(-1, rows, inner), b, out=out[:whole].reshape(-1, rows, b.shape[1]))
+    np.matmul(a[whole:], b, out=out[whole:])
+    return out
+
+
 @dataclass
 class Parameters:
     """Of the model: in each step s(row | h) = sum over places i of (place_i * context_{h_i}) . word_row + bias_row.
@@ -151,9 +163,11 @@ class Parameters:
 
     def step(self, predicted: np.ndarray, low: int, high: int) -> np.ndarray:
         """Normalized log probabilities of the rows ``low`` to ``high``, one step of the tree."""
-        logits = predicted @ self.word[low:high].T + self.bias[low:high]
+        logits = _product(predicted, self.word[low:high].T)
+        logits += self.bias[low:high]
         logits -= logits.max(axis=1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        return logits
 
     def log_probabilities(self, contexts: np.ndarray) -> np.ndarray:
         """Normalized log probabilities of all classes after each context (a row of classes, nearest last)."""
@@ -176,18 +190,18 @@ class Parameters:
         t, out, part_unseen = self.tree, np.zeros(len(classes)), np.zeros(len(classes))
         predicted, first = self.predicted(contexts), self.tree.first(classes)
         sort = np.argsort(at, kind="stable")
-        cuts = np.searchsorted(at[sort], np.arange(0, len(contexts) + 4096, 4096))
+        cuts = np.searchsorted(at[sort], np.arange(0, len(contexts) + TABLE, TABLE))
         for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            table = self.step(predicted[i * 4096 : (i + 1) * 4096], 0, t.head)
+            table = self.step(predicted[i * TABLE : (i + 1) * TABLE], 0, t.head)
             part = sort[low:high]
-            out[part] = table[at[part] - i * 4096, first[part]]
+            out[part] = table[at[part] - i * TABLE, first[part]]
         deep = np.flatnonzero(classes > t.top)
         deep = deep[np.argsort(classes[deep], kind="stable")]
         for row, start, size in t.later(classes[deep]):
             cuts = np.append(np.flatnonzero(np.append(True, start[1:] != start[:-1])), len(deep)) if len(deep) else [0]
             for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-                for some in range(low, high, 16_384):
-                    part = slice(some, min(some + 16_384, high))
+                for some in range(low, high, TABLE):
+                    part = slice(some, min(some + TABLE, high))
                     table = self.step(predicted[at[deep[part]]], start[low], start[low] + size[low])
                     own = table[np.arange(len(table)), row[part] - start[low]]
                     out[deep[part]] += own
@@ -229,10 +243,10 @@ def train(p: Parameters, contexts: np.ndarray, words: np.ndarray, weights: np.nd
         noise, row = draw.choice(len(shares), NOISE, p=shares), t.first(w)
         r, own = p.predicted(h), p.word[row]
         real = np.einsum("bd,bd->b", r, own) + p.bias[row] - log_noise[row]
-        fake = r @ p.word[noise].T + p.bias[noise] - log_noise[noise]
+        fake = _product(r, p.word[noise].T) + (p.bias[noise] - log_noise[noise])
         gain = wt / (1 + np.exp(real))
         loss = -wt[:, None] / (1 + np.exp(-fake))
-        pull = gain[:, None] * own + loss @ p.word[noise]
+        pull = gain[:, None] * own + _product(loss, p.word[noise])
         rows, grads = [row, noise], [gain[:, None] * r, loss.T @ r]
         biases = np.bincount(np.concatenate(rows), np.concatenate([gain, loss.sum(axis=0)]), t.head).astype(np.float32)
         deep = np.flatnonzero(w > t.top)
