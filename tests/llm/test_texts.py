@@ -9,6 +9,7 @@ from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,6 +194,32 @@ def test_every_character_goes_through_the_streaming_search(monkeypatch):
         assert encoder.search.streamed - before == len(pieces.normalized(text))
 
 
+def test_encoding_holds_a_bounded_number_of_findings_and_texts(monkeypatch):
+    path = token_file("piece_bpe_32k.model")
+    monkeypatch.setattr(pieces, "REMEMBERED", 64)
+    monkeypatch.setattr(pieces, "REMEMBERED_SEGMENTS", 32)
+    plain, encoder = pieces.Encoder(pieces.read_model(path)), pieces.Encoder(pieces.read_model(path))
+    plain.remembered.size = plain.search.stable.size = plain.search.begun.size = 1 << 30
+    rng = random.Random(24)
+    for i in range(300):
+        line = f"hot {rng.randrange(10**6)} {''.join(rng.choice('abcdeé') for _ in range(9))}"
+        before = encoder.search.streamed
+        assert encoder.encode(line) == plain.encode(line)
+        # what is asked for again and again is never forgotten
+        assert i == 0 or encoder.search.streamed - before <= len(line) + 1 - len("▁hot")
+    for found, size in ((encoder.remembered, 32), (encoder.search.stable, 64), (encoder.search.begun, 64)):
+        assert len(found.new) <= size and len(found.old) <= size
+    monkeypatch.setattr(text.blocks, "__defaults__", (64,))
+    seen = []
+
+    def lengths(texts):
+        seen.append(len(texts))
+        return pa.array([len(t) for t in texts], pa.int64())
+
+    assert pieces._by_blocks(pa.array(["x" * 30] * 9 + ["y" * 200]), lengths).to_pylist() == [30] * 9 + [200]
+    assert max(seen) == 2 and pieces._by_blocks(pa.array([], pa.string()), lengths).to_pylist() == []
+
+
 # near duplicates
 
 

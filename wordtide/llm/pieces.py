@@ -11,13 +11,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordtide.llm import text as tx
+
 # Fixed value: the letter that stands for a space.
 SPACE = "▁"
-# Segments up to this many characters are remembered, and up to so many findings in a process.
-REMEMBERED_CHARS, REMEMBERED = 48, 400_000
+# Segments up to this many characters are remembered, and about twice so many findings of a kind in a process.
+REMEMBERED_CHARS, REMEMBERED = 48, 65_536
 # Of the beginnings of segments up to this many characters, the last pieces are remembered.
 BEGUN_CHARS = 12
-REMEMBERED_SEGMENTS = 1_000_000
+REMEMBERED_SEGMENTS = 131_072
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -64,6 +66,26 @@ def normalized(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
+class Remembered:
+    """Findings by key: the newest ``size``, and of the ``size`` before them those that are asked for again."""
+
+    def __init__(self, size: int) -> None:
+        self.size = size
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        found = self.new.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key, found) -> None:
+        if len(self.new) >= self.size:
+            self.old, self.new = self.new, {}
+        self.new[key] = found
+
+
 class Viterbi:
     """The best path through the pieces of a stream of characters.
 
@@ -82,8 +104,7 @@ class Viterbi:
         self.unknown_score = min(pieces.scores.values(), default=0.0) - 10.0
         self.ends = {p[i:] for p in pieces.scores for i in range(1, len(p))}
         # what was found before: for two neighbours, and for the last piece of a short beginning
-        self.stable: dict[tuple[str, str], bool] = {}
-        self.begun: dict[str, str] = {}
+        self.stable, self.begun = Remembered(REMEMBERED), Remembered(REMEMBERED)
         self.streamed = 0  # characters the search has gone over
 
     def merged(self, text: str) -> list[str]:
@@ -102,11 +123,9 @@ class Viterbi:
 
     def neighbours(self, left: str, right: str) -> bool:
         """Whether merging the characters of both ends with these two. The answer is remembered."""
-        if len(self.stable) >= REMEMBERED:
-            self.stable.clear()
         found = left + right not in self.known if left else True
         found = found and self.merged(left + right) == ([left, right] if left else [right])
-        self.stable[left, right] = found
+        self.stable.keep((left, right), found)
         return found
 
     def _back(self, window: str, last: list[str], best: list[float], i: int) -> tuple[str, float]:
@@ -147,13 +166,11 @@ class Viterbi:
             for c in part:
                 window += c
                 start = window if begins and self.merges and len(window) <= BEGUN_CHARS else None
-                piece, score = self.begun.get(start), 0.0
+                piece, score = self.begun.get(start) if start else None, 0.0
                 if piece is None:
                     piece, score = self._back(window, last, best, len(window))
                     if start:
-                        if len(self.begun) >= REMEMBERED:
-                            self.begun.clear()
-                        self.begun[start] = piece
+                        self.begun.keep(start, piece)
                 last.append(piece)
                 best.append(score)
                 if len(window) >= 2 * self.longest and (cut := self._converged(last)):
@@ -216,7 +233,7 @@ class Encoder:
     def __init__(self, pieces: Pieces) -> None:
         self.pieces, self.search = pieces, Viterbi(pieces)
         self.segments = _segments(pieces)
-        self.remembered: dict[str, bytes] = {}
+        self.remembered = Remembered(REMEMBERED_SEGMENTS)
 
     def _streamed(self, segment: str) -> bytes:
         ids: list[int] = []
@@ -231,9 +248,7 @@ class Encoder:
                     ids.append(self.pieces.unknown)
         out = np.array(ids, np.int32).tobytes()
         if len(segment) <= REMEMBERED_CHARS:
-            if len(self.remembered) >= REMEMBERED_SEGMENTS:
-                self.remembered.clear()
-            self.remembered[segment] = out
+            self.remembered.keep(segment, out)
         return out
 
     def encode(self, text: str) -> bytes:
@@ -262,6 +277,12 @@ def _id_lists(parts: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
+def _by_blocks(column: pa.Array, coded: Callable[[list[str]], pa.Array]) -> pa.Array:
+    """``coded`` of all texts; those of a block at a time are Python objects."""
+    done = [coded(column.slice(low, high - low).to_pylist()) for low, high, _, _ in tx.blocks(column)]
+    return pa.concat_arrays(done) if done else coded([])
+
+
 def coder(docs: DataFrame, path: str) -> tuple[Callable[[Column], Column], Callable[[Column], Column], Callable[[Column], Column]]:
     """Column functions (encode, decode, both) for the model at ``path``.
 
@@ -277,7 +298,7 @@ def coder(docs: DataFrame, path: str) -> tuple[Callable[[Column], Column], Calla
     def encode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(shared)
         for column in columns:
-            yield _id_lists([encoder.encode(t) for t in column.to_pylist()])
+            yield _by_blocks(column, lambda texts: _id_lists([encoder.encode(t) for t in texts]))
 
     def spell(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         spelled = shared.value.spelled
@@ -286,10 +307,14 @@ def coder(docs: DataFrame, path: str) -> tuple[Callable[[Column], Column], Calla
 
     def both(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(shared)
+
+        def coded(texts: list[str]) -> pa.Array:
+            parts = [encoder.encode(t) for t in texts]
+            decoded = [decode(np.frombuffer(p, np.int32).tolist(), encoder.pieces.spelled) for p in parts]
+            return pa.StructArray.from_arrays([_id_lists(parts), pa.array(decoded, pa.string())], ["ids", "decoded"])
+
         for column in columns:
-            parts = [encoder.encode(t) for t in column.to_pylist()]
-            texts = [decode(np.frombuffer(p, np.int32).tolist(), encoder.pieces.spelled) for p in parts]
-            yield pa.StructArray.from_arrays([_id_lists(parts), pa.array(texts, pa.string())], ["ids", "decoded"])
+            yield _by_blocks(column, coded)
 
     text_of = lambda text: F.coalesce(text, F.lit(""))
     encode_udf, decode_udf = F.arrow_udf(encode, "array<int>"), F.arrow_udf(spell, "string")
