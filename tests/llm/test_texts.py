@@ -589,6 +589,46 @@ def test_top_words_are_found_among_words_of_equal_counts(docs, monkeypatch):
     assert len(lm.fit(learn, lm.word_counts(learn)).lookup.h1) == 20
 
 
+def test_parameters_of_tasks_are_averaged_from_narrow_records(monkeypatch):
+    monkeypatch.setattr(lm, "STEPS", 6)
+    monkeypatch.setattr(lm, "EXAMPLES", 300)
+    monkeypatch.setattr(lm, "BATCH", 150)
+    shares = np.arange(1.0, 41) / np.arange(1.0, 41).sum()
+    # no word is known, so all are dealt to 32 bins beyond the top
+    lookup = lm.Lookup(*(np.zeros(0, x) for x in (np.uint64, np.uint64, np.int64, np.int64)), 3, 4, 9, 5)
+    made, plain = [], lm.train
+    monkeypatch.setattr(lm, "train", lambda *a, **k: made.append(plain(*a, **k)) or made[-1])
+    monkeypatch.setattr(text.blocks, "__defaults__", (1000,))
+    rng = random.Random(25)
+    tasks = [[" ".join(f"w{rng.randrange(99)}" for _ in range(60)) for _ in range(n)] for n in (8, 23)]
+    shared = type("Shared", (), {"value": (lookup, shares, 3)})
+    out = [list(lm._trainer(shared)(iter([pa.RecordBatch.from_arrays([pa.array(x)], ["text"])]))) for x in tasks]
+    # later examples of a task go over once: its first ones have made the updates that it needs
+    assert len(made) == 4 and min(made[:2]) >= 6 > max(made[2:])
+    assert all(b.nbytes < 110 * sum(b.column("at").value_lengths().to_pylist()) for x in out for b in x)
+    totals, weights = np.zeros((2000, lm.DIM)), np.zeros((2000, 1))
+    for batch in chain.from_iterable(out):
+        for r in batch.to_pylist():
+            assert {x // lm.AVERAGED for x in r["at"]} == {r["block"]}
+            w = np.array(r["weight"])[:, None]
+            totals[r["at"]] += np.array(r["row"]).reshape(-1, lm.DIM) * w
+            weights[r["at"]] += w
+    got = {x: v for b in lm._average(chain.from_iterable(out)) for r in b.to_pylist() for x, v in zip(r["at"], np.array(r["row"]).reshape(-1, lm.DIM), strict=True)}
+    assert sorted(got) == np.flatnonzero(weights).tolist()
+    assert all(np.allclose(v, totals[x] / weights[x], atol=1e-5) for x, v in got.items())
+    p = lm.Parameters.start(shares, 3)
+    same = p.replaced(np.arange(len(p.whole())), p.whole())
+    assert all((a == b).all() for a, b in zip(p.parts(), same.parts(), strict=True))
+
+
+def test_large_logits_do_not_overflow():
+    p = lm.Parameters.start(np.array([0.5, 0.3, 0.2]))
+    p.word *= 4000
+    p.context *= 50
+    got, _ = p.chosen(np.array([[0, 1], [2, 2]]), np.array([0, 0, 0, 1, 1, 1]), np.array([0, 1, 2] * 2), np.zeros(0))
+    assert np.isfinite(got).all() and np.allclose(np.exp(got).reshape(2, 3).sum(axis=1), 1, atol=1e-3)
+
+
 def test_class_probabilities_sum_to_one():
     p = lm.Parameters.start(np.array([0.5, 0.3, 0.2]))
     assert np.allclose(np.exp(p.log_probabilities(np.array([[0, 1], [2, 2]]))).sum(axis=1), 1, atol=1e-5)

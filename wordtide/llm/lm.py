@@ -31,6 +31,12 @@ BIN_WORDS, MOST_BIN_BITS = 256, 8
 TABLE = 512
 # Examples that a task gathers before it trains on them.
 EXAMPLES = 4_000_000
+# Neighbouring rows of parameters that a task gives out as one record.
+AVERAGED = 64
+# Bytes of text that are scored at once, so that many tokens share a context or a group.
+SCORED_BYTES = 1 << 21
+# No sum of exponentials of logits up to this overflows.
+SAFE = 60.0
 END = (1, 1)
 
 
@@ -142,30 +148,32 @@ class Parameters:
     def parts(self) -> list[np.ndarray]:
         return [self.context, self.place, self.word, self.bias]
 
-    def rows(self, at: np.ndarray) -> np.ndarray:
-        """The numbered rows of context, word (with its bias) and place, one after the other."""
-        n, out = len(self.context), np.zeros((len(at), DIM + 1), np.float32)
-        kinds = np.searchsorted([n, n + self.tree.rows], at, "right")
-        for kind, (part, before) in enumerate([(self.context, 0), (self.word, n), (self.place, n + self.tree.rows)]):
-            out[kinds == kind, :DIM] = part[at[kinds == kind] - before]
-        out[kinds == 1, DIM] = self.bias[at[kinds == 1] - n]
-        return out
+    def whole(self) -> np.ndarray:
+        """Rows of context, word and place, then the biases of the first step, ``DIM`` a row."""
+        first = self.bias[: self.tree.head]
+        return np.concatenate([self.context, self.word, self.place, np.pad(first, (0, -len(first) % DIM)).reshape(-1, DIM)])
 
     def replaced(self, at: np.ndarray, values: np.ndarray) -> Parameters:
-        """With other values in the numbered rows."""
-        n, new = len(self.context), Parameters(*(x.copy() for x in self.parts()), self.tree)
-        kinds = np.searchsorted([n, n + self.tree.rows], at, "right")
-        for kind, (part, before) in enumerate([(new.context, 0), (new.word, n), (new.place, n + self.tree.rows)]):
-            part[at[kinds == kind] - before] = values[kinds == kind, :DIM]
-        first = (kinds == 1) & (at - n < self.tree.head)
-        new.bias[at[first] - n] = values[first, DIM]
-        return new
+        """With other values in the numbered rows of the whole."""
+        whole, bias = self.whole(), self.bias.copy()
+        whole[at] = values
+        context, word, place, first = np.split(whole, np.cumsum([len(self.context), len(self.word), CONTEXT]))
+        bias[: self.tree.head] = first.ravel()[: self.tree.head]
+        return Parameters(context, place, word, bias, self.tree)
+
+    def logits(self, predicted: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Scores of the rows ``low`` to ``high``, one step of the tree, less the largest if they are large."""
+        word, bias = self.word[low:high], self.bias[low:high]
+        out = _product(predicted, word.T)
+        out += bias
+        longest = [np.sqrt(np.einsum("nd,nd->n", x, x).max(initial=0.0)) for x in (predicted, word)]
+        if not longest[0] * longest[1] + np.abs(bias).max() < SAFE:
+            out -= out.max(axis=1, keepdims=True)
+        return out
 
     def step(self, predicted: np.ndarray, low: int, high: int) -> np.ndarray:
         """Normalized log probabilities of the rows ``low`` to ``high``, one step of the tree."""
-        logits = _product(predicted, self.word[low:high].T)
-        logits += self.bias[low:high]
-        logits -= logits.max(axis=1, keepdims=True)
+        logits = self.logits(predicted, low, high)
         logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
         return logits
 
@@ -192,9 +200,11 @@ class Parameters:
         sort = np.argsort(at, kind="stable")
         cuts = np.searchsorted(at[sort], np.arange(0, len(contexts) + TABLE, TABLE))
         for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            table = self.step(predicted[i * TABLE : (i + 1) * TABLE], 0, t.head)
+            table = self.logits(predicted[i * TABLE : (i + 1) * TABLE], 0, t.head)
             part = sort[low:high]
-            out[part] = table[at[part] - i * TABLE, first[part]]
+            of = at[part] - i * TABLE
+            own = table[of, first[part]]
+            out[part] = own - np.log(np.exp(table, out=table).sum(axis=1))[of]
         deep = np.flatnonzero(classes > t.top)
         deep = deep[np.argsort(classes[deep], kind="stable")]
         for row, start, size in t.later(classes[deep]):
@@ -202,30 +212,54 @@ class Parameters:
             for low, high in zip(cuts[:-1], cuts[1:], strict=True):
                 for some in range(low, high, TABLE):
                     part = slice(some, min(some + TABLE, high))
-                    table = self.step(predicted[at[deep[part]]], start[low], start[low] + size[low])
+                    table = self.logits(predicted.take(at[deep[part]], axis=0), start[low], start[low] + size[low])
                     own = table[np.arange(len(table)), row[part] - start[low]]
-                    out[deep[part]] += own
+                    out[deep[part]] += own - np.log(np.exp(table, out=table).sum(axis=1))
                     if start[low] == t.head + t.groups:  # the group of the bins
-                        part_unseen[deep[part]] = np.log(np.exp(table[:, : len(unseen)]) @ unseen) - own
+                        part_unseen[deep[part]] = np.log(table[:, : len(unseen)] @ unseen) - own
         return out, part_unseen
 
     def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        return sum(self.context[contexts[:, i]] * self.place[i] for i in range(CONTEXT))
+        return sum(self.context.take(contexts[:, i], axis=0) * self.place[i] for i in range(CONTEXT))
 
 
 def _ascend(x: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray, rate: float) -> None:
     """Adagrad, in place, of the rows that have gradients; a row may have many."""
     sort = np.argsort(rows)
-    rows = rows[sort]
+    rows = rows.take(sort)
     fresh = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    g, at = np.add.reduceat(grads[sort], fresh, axis=0), rows[fresh]
-    s = squares[at] + g * g
+    g, at = grads.take(sort, axis=0), rows.take(fresh)
+    if len(at) < len(rows):
+        # complex numbers are pairs of neighbouring columns, added up in one go
+        g = np.add.reduceat(g.view(np.complex64) if g.ndim > 1 else g, fresh, axis=0).view(np.float32)
+    s = squares.take(at, axis=0)
+    s += g * g
     squares[at] = s
-    x[at] += rate * g / np.sqrt(s)
-
-
-def train(p: Parameters, contexts: np.ndarray, words: np.ndarray, weights: np.ndarray, shares: np.ndarray, rate: float = 0.1) -> None:
-    """Adagrad on noise-contrastive estimation, in place: one pass, or as many as make ``STEPS`` updates.
+    g *= np.float32(rate)
+    g /= np.sqrt(s, out=s)
+    g += x.take(at, axis=0)
+    x[at] = g
+
+
+def _sections(
+    p: Parameters, r: np.ndarray, weights: np.ndarray, row: np.ndarray, start: np.ndarray, among: np.ndarray, others: np.ndarray
+) -> Iterator[tuple[slice, slice, np.ndarray]]:
+    """(examples, rows of their section, gradients of its logits) in the second step, for examples sorted by section."""
+    cuts = np.append(np.flatnonzero(np.append(True, start[1:] != start[:-1])), len(start)).tolist()
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        n, size, first = high - low, int(among[low]), int(start[low])
+        section, at, own, wt = slice(first, first + size), np.arange(n), row[low:high] - first, weights[low:high]
+        logits = _product(r[low:high], p.word[section].T)
+        logits += p.bias[section] - np.float32(np.log(INNER / size))
+        gain = wt / (1 + np.exp(logits[at, own]))
+        drawn = np.bincount((others[low:high] - first + at[:, None] * size).ravel(), minlength=n * size).reshape(n, size).astype(np.float32)
+        out = drawn * -wt[:, None] / (1 + np.exp(-logits))
+        out[at, own] += gain
+        yield slice(low, high), section, out
+
+
+def train(p: Parameters, contexts: np.ndarray, words: np.ndarray, weights: np.ndarray, shares: np.ndarray, rate: float = 0.1, steps: int | None = None) -> int:
+    """Adagrad on noise-contrastive estimation, in place: one pass, or as many as make ``steps`` updates; how many it made.
 
     In each step to its word, an example tells the row from others: in the first from rows drawn from
     ``shares``, which a batch has in common, and in later ones from ``INNER`` drawn evenly from the step's rows.
@@ -235,13 +269,13 @@ def train(p: Parameters, contexts: np.ndarray, words: np.ndarray, weights: np.nd
     squares = [np.full(x.shape, 1e-6, np.float32) for x in p.parts()]
     log_noise = np.log(NOISE * shares).astype(np.float32)
     size = min(BATCH, len(words))
-    passes = -(-STEPS // -(-len(words) // size))
+    passes = max(1, -(-(STEPS if steps is None else steps) // -(-len(words) // size)))
     mixed = np.concatenate([draw.permutation(len(words)) for _ in range(passes)])
     for low in range(0, len(mixed), size):
         at = mixed[low : low + size]
-        h, w, wt = contexts[at], words[at], (weights[at] / weights[at].sum()).astype(np.float32)
+        h, w, wt = contexts.take(at, axis=0), words.take(at), (weights[at] / weights[at].sum()).astype(np.float32)
         noise, row = draw.choice(len(shares), NOISE, p=shares), t.first(w)
-        r, own = p.predicted(h), p.word[row]
+        r, own = p.predicted(h), p.word.take(row, axis=0)
         real = np.einsum("bd,bd->b", r, own) + p.bias[row] - log_noise[row]
         fake = _product(r, p.word[noise].T) + (p.bias[noise] - log_noise[noise])
         gain = wt / (1 + np.exp(real))
@@ -254,10 +288,19 @@ def train(p: Parameters, contexts: np.ndarray, words: np.ndarray, weights: np.nd
             some = np.flatnonzero(among > 1)
             if not len(some):
                 continue
+            others = start[some, None] + (draw.random((len(some), INNER)) * among[some, None]).astype(np.int64)
+            sort = np.argsort(row[some])
+            some, others = some[sort], others[sort]
             row, start, among, here = row[some], start[some], among[some], deep[some]
-            rd, own, log_even = r[here], p.word[row], np.log(INNER / among).astype(np.float32)
-            others = start[:, None] + (draw.random((len(here), INNER)) * among[:, None]).astype(np.int64)
-            theirs = p.word[others]
+            rd = r.take(here, axis=0)
+            if start[0] < t.head + t.groups:
+                for part, section, coefficients in _sections(p, rd, wt[here], row, start, among, others):
+                    pull[here[part]] += _product(coefficients, p.word[section])
+                    rows.append(np.arange(section.start, section.stop))
+                    grads.append(coefficients.T @ rd[part])
+                continue
+            own, log_even = p.word.take(row, axis=0), np.log(INNER / among).astype(np.float32)
+            theirs = p.word.take(others, axis=0)
             real = np.einsum("bd,bd->b", rd, own) + p.bias[row] - log_even
             fake = np.einsum("bd,bkd->bk", rd, theirs) + p.bias[others] - log_even[:, None]
             gain = wt[here] / (1 + np.exp(real))
@@ -265,12 +308,13 @@ def train(p: Parameters, contexts: np.ndarray, words: np.ndarray, weights: np.nd
             pull[here] += gain[:, None] * own + np.einsum("bk,bkd->bd", loss, theirs)
             rows += [row, others.ravel()]
             grads += [gain[:, None] * rd, (loss[:, :, None] * rd[:, None, :]).reshape(-1, DIM)]
-        places = np.stack([(pull * p.context[h[:, i]]).sum(axis=0) for i in range(CONTEXT)])
+        places = np.stack([(pull * p.context.take(h[:, i], axis=0)).sum(axis=0) for i in range(CONTEXT)])
         pulls = np.concatenate([pull * p.place[i] for i in range(CONTEXT)])
         _ascend(p.context, squares[0], h.T.ravel(), pulls, rate)
         _ascend(p.place, squares[1], np.arange(CONTEXT), places, rate)
         _ascend(p.word, squares[2], np.concatenate(rows), np.concatenate(grads), rate)
         _ascend(p.bias, squares[3], np.arange(t.head), biases, rate)
+    return -(-len(mixed) // size)
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -329,14 +373,33 @@ def _classes(lookup: Lookup, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray
     return classes, row, found
 
 
-VALUES = [f"v{i}" for i in range(DIM + 1)]
-TRAINED = f"at int, weight double, {', '.join(f'{v} float' for v in VALUES)}"
+TRAINED = "block int, at array<int>, weight array<double>, row array<float>"
+MEAN = "at array<int>, row array<float>"
+
+
+def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows averaged by weight over the tasks that give them; all records of a block must be in one task."""
+    totals: dict[int, np.ndarray] = {}
+    for batch in batches:
+        at, weight, row = (batch.column(x).flatten().to_numpy() for x in ("at", "weight", "row"))
+        ends = np.cumsum(batch.column("at").value_lengths().to_numpy())
+        row = row.reshape(-1, DIM)
+        for block, low, high in zip(batch.column("block").to_pylist(), np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+            total = totals.get(block)
+            if total is None:
+                total = totals[block] = np.zeros((AVERAGED, DIM + 1))
+            some, w = at[low:high] - block * AVERAGED, weight[low:high, None]
+            total[some] += np.hstack([row[low:high] * w, w])
+    for block, total in totals.items():
+        some = np.flatnonzero(total[:, DIM])
+        mean = (total[some, :DIM] / total[some, DIM:]).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([some + block * AVERAGED], pa.list_(pa.int32())), pa.array([mean.ravel()], pa.list_(pa.float32()))], ["at", "row"])
 
 
 def _trainer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, shares, top = shared.value
-        p, n, trained = Parameters.start(shares, top), len(shares), 0.0
+        p, n, trained, steps = Parameters.start(shares, top), len(shares), 0.0, 0
         t = p.tree
         drawn = t.summed(shares)[: t.head]
         held: list[np.ndarray] = []
@@ -344,17 +407,19 @@ def _trainer(shared):
         seen = [np.zeros(n), np.zeros(t.rows)]
 
         def learn() -> float:
+            nonlocal steps
             codes, weights = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
             words, before = codes % n, codes // n
             contexts = np.stack([before // n ** (CONTEXT - 1 - i) % n for i in range(CONTEXT)], axis=1)
+            del codes, before
             weights = weights.astype(np.float64)
             for column in contexts.T:
                 seen[0] += np.bincount(column, weights, n)
             deep = words > t.top
             for row, _, _ in t.later(words[deep]):
                 seen[1] += np.bincount(row, weights[deep], t.rows)
-            train(p, contexts, words, weights, drawn)
+            steps += train(p, contexts, words, weights, drawn, steps=STEPS - steps)
             return float(weights.sum())
 
         for batch in batches:
@@ -372,14 +437,20 @@ def _trainer(shared):
         if trained:
             # rows of the first step and places are learned from every token
             seen[1][: t.head] = trained
-            weights = np.concatenate([*seen, np.full(CONTEXT, trained)])
+            rows = p.whole()
+            weights = np.concatenate([*seen, np.full(len(rows) - n - t.rows, trained)])
             learned = np.flatnonzero(weights)
-            for low in range(0, len(learned), 1 << 15):
-                at = learned[low : low + (1 << 15)]
-                values = p.rows(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at, pa.int32()), pa.array(weights[at]), *(pa.array(v) for v in np.ascontiguousarray(values.T))], ["at", "weight", *VALUES]
-                )
+            blocks = learned // AVERAGED
+            fresh = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
+            for low in range(0, len(fresh), 512):
+                cuts = np.append(fresh, len(learned))[low : low + 513]
+                at, cut = learned[cuts[0] : cuts[-1]], pa.array(cuts - cuts[0], pa.int32())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(blocks[cuts[:-1]], pa.int32()),
+                    pa.ListArray.from_arrays(cut, pa.array(at, pa.int32())),
+                    pa.ListArray.from_arrays(cut, pa.array(weights[at])),
+                    pa.ListArray.from_arrays(pa.array((cuts - cuts[0]) * DIM, pa.int32()), pa.array(rows[at].ravel())),
+                ], ["block", "at", "weight", "row"])
 
     return run
 
@@ -464,11 +535,10 @@ def fit(docs: DataFrame, counts: DataFrame) -> Model:
     trained = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         _trainer(spark.sparkContext.broadcast((lookup, shares, top))), TRAINED
     )
-    weight = F.col("weight")
-    mean = trained.groupBy("at").agg(*((F.sum(F.col(v) * weight) / F.sum(weight)).cast("float").alias(v) for v in VALUES)).toArrow()
-    values = np.stack([mean.column(v).to_numpy() for v in VALUES], axis=1)
+    mean = trained.repartition("block").mapInArrow(_average, MEAN).toArrow()
+    at, values = (pa.concat_arrays([pa.array([], x.type.value_type), *(c.flatten() for c in x.chunks)]).to_numpy() for x in mean.columns)
     discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-    parameters = start.replaced(mean.column("at").to_numpy(), values)
+    parameters = start.replaced(at, values.reshape(-1, DIM))
     return Model(lookup, parameters, int(total), int(words), discount, rest_tokens, rest_words, *bins)
 
 
@@ -481,7 +551,7 @@ def _scorer(shared):
         n = m.parameters.tree.classes
         for column in columns:
             parts, rare = [], []
-            for _, _, data, offsets in tx.blocks(column):
+            for _, _, data, offsets in tx.blocks(column, SCORED_BYTES):
                 h1, h2, bounds = _tokens(data, offsets)
                 classes, row, found = _classes(m.lookup, h1, h2)
                 # the class of each token after its context; equal contexts are one
