@@ -196,8 +196,8 @@ def test_every_character_goes_through_the_streaming_search(monkeypatch):
 
 def test_encoding_holds_a_bounded_number_of_findings_and_texts(monkeypatch):
     path = token_file("piece_bpe_32k.model")
-    monkeypatch.setattr(pieces, "REMEMBERED", 64)
-    monkeypatch.setattr(pieces, "REMEMBERED_SEGMENTS", 32)
+    for name, size in {"REMEMBERED": 64, "REMEMBERED_BEGUN": 64, "REMEMBERED_SEGMENTS": 32}.items():
+        monkeypatch.setattr(pieces, name, size)
     plain, encoder = pieces.Encoder(pieces.read_model(path)), pieces.Encoder(pieces.read_model(path))
     plain.remembered.size = plain.search.stable.size = plain.search.begun.size = 1 << 30
     rng = random.Random(24)
@@ -208,7 +208,7 @@ def test_encoding_holds_a_bounded_number_of_findings_and_texts(monkeypatch):
         # what is asked for again and again is never forgotten
         assert i == 0 or encoder.search.streamed - before <= len(line) + 1 - len("▁hot")
     for found, size in ((encoder.remembered, 32), (encoder.search.stable, 64), (encoder.search.begun, 64)):
-        assert len(found.new) <= size and len(found.old) <= size
+        assert len(found) <= size and len(found.old) <= size
     monkeypatch.setattr(text.blocks, "__defaults__", (64,))
     seen = []
 

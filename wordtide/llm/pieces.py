@@ -15,11 +15,10 @@ from wordtide.llm import text as tx
 
 # Fixed value: the letter that stands for a space.
 SPACE = "▁"
-# Segments up to this many characters are remembered, and about twice so many findings of a kind in a process.
-REMEMBERED_CHARS, REMEMBERED = 48, 65_536
-# Of the beginnings of segments up to this many characters, the last pieces are remembered.
-BEGUN_CHARS = 12
-REMEMBERED_SEGMENTS = 131_072
+# Segments up to this many characters are remembered, and of the beginnings of segments the last pieces.
+REMEMBERED_CHARS, BEGUN_CHARS = 48, 12
+# Findings that a process remembers, at most twice so many: for two neighbours, of beginnings, and of segments.
+REMEMBERED, REMEMBERED_BEGUN, REMEMBERED_SEGMENTS = 262_144, 262_144, 524_288
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -66,24 +65,24 @@ def normalized(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
-class Remembered:
-    """Findings by key: the newest ``size``, and of the ``size`` before them those that are asked for again."""
+class Remembered(dict):
+    """Findings by key: the newest ``size``, and of the ``size`` before them those that are asked for again. None is none."""
 
     def __init__(self, size: int) -> None:
         self.size = size
-        self.new: dict = {}
         self.old: dict = {}
 
-    def get(self, key):
-        found = self.new.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is not None:
             self.keep(key, found)
         return found
 
     def keep(self, key, found) -> None:
-        if len(self.new) >= self.size:
-            self.old, self.new = self.new, {}
-        self.new[key] = found
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
 
 
 class Viterbi:
@@ -97,14 +96,14 @@ class Viterbi:
     is committed and forgotten.
     """
 
-    def __init__(self, pieces: Pieces) -> None:
+    def __init__(self, pieces: Pieces, share: float = 1.0) -> None:
         self.known = pieces.scores
         self.longest = max(map(len, pieces.scores), default=1)
         self.merges = pieces.merges
         self.unknown_score = min(pieces.scores.values(), default=0.0) - 10.0
         self.ends = {p[i:] for p in pieces.scores for i in range(1, len(p))}
         # what was found before: for two neighbours, and for the last piece of a short beginning
-        self.stable, self.begun = Remembered(REMEMBERED), Remembered(REMEMBERED)
+        self.stable, self.begun = Remembered(int(REMEMBERED * share)), Remembered(int(REMEMBERED_BEGUN * share))
         self.streamed = 0  # characters the search has gone over
 
     def merged(self, text: str) -> list[str]:
@@ -132,14 +131,14 @@ class Viterbi:
         """The last piece on the best path to boundary i, and the path's score."""
         known, picked, top = self.known, None, -np.inf
         if self.merges:
-            remembered, ends = self.stable.get, self.ends
+            remembered, ends = self.stable, self.ends
             for j in range(i - 1, max(0, i - self.longest) - 1, -1):
                 piece = window[j:i]
                 if j < i - 1 and piece not in known:
                     if piece not in ends:
                         break
                     continue
-                found = remembered((last[j], piece))
+                found = remembered[last[j], piece]
                 if found is None:
                     found = self.neighbours(last[j], piece)
                 if found:
@@ -166,7 +165,7 @@ class Viterbi:
             for c in part:
                 window += c
                 start = window if begins and self.merges and len(window) <= BEGUN_CHARS else None
-                piece, score = self.begun.get(start) if start else None, 0.0
+                piece, score = self.begun[start] if start else None, 0.0
                 if piece is None:
                     piece, score = self._back(window, last, best, len(window))
                     if start:
@@ -227,13 +226,13 @@ class Encoder:
     """Text to the bytes of its ids, through one streaming search.
 
     The text is streamed in parts that no piece crosses. Ids of a short part that was streamed before
-    are remembered.
+    are remembered; ``share`` of the findings that a process may remember.
     """
 
-    def __init__(self, pieces: Pieces) -> None:
-        self.pieces, self.search = pieces, Viterbi(pieces)
+    def __init__(self, pieces: Pieces, share: float = 1.0) -> None:
+        self.pieces, self.search = pieces, Viterbi(pieces, share)
         self.segments = _segments(pieces)
-        self.remembered = Remembered(REMEMBERED_SEGMENTS)
+        self.remembered = Remembered(int(REMEMBERED_SEGMENTS * share))
 
     def _streamed(self, segment: str) -> bytes:
         ids: list[int] = []
@@ -252,8 +251,8 @@ class Encoder:
         return out
 
     def encode(self, text: str) -> bytes:
-        known, search = self.remembered.get, self._streamed
-        return b"".join([known(s) or search(s) for s in self.segments(normalized(text))])
+        known, search = self.remembered, self._streamed
+        return b"".join([known[s] or search(s) for s in self.segments(normalized(text))])
 
 
 def decode(ids: list[int], spelled: list[bytes]) -> str:
@@ -264,11 +263,11 @@ def decode(ids: list[int], spelled: list[bytes]) -> str:
 _ready: dict = {}
 
 
-def _encoder(shared) -> Encoder:
+def _encoder(shared, share: float) -> Encoder:
     """One encoder for each process; its memory of segments is bounded and only saves time."""
     if shared not in _ready:
         _ready.clear()
-        _ready[shared] = Encoder(shared.value)
+        _ready[shared] = Encoder(shared.value, share)
     return _ready[shared]
 
 
@@ -283,7 +282,7 @@ def _by_blocks(column: pa.Array, coded: Callable[[list[str]], pa.Array]) -> pa.A
     return pa.concat_arrays(done) if done else coded([])
 
 
-def coder(docs: DataFrame, path: str) -> tuple[Callable[[Column], Column], Callable[[Column], Column], Callable[[Column], Column]]:
+def coder(docs: DataFrame, path: str, share: float = 1.0) -> tuple[Callable[[Column], Column], Callable[[Column], Column], Callable[[Column], Column]]:
     """Column functions (encode, decode, both) for the model at ``path``.
 
     encode: text to ids, as the model's library encodes, without begin or end. decode: ids to text;
@@ -291,12 +290,13 @@ def coder(docs: DataFrame, path: str) -> tuple[Callable[[Column], Column], Calla
     to. A null or empty text has no ids, and no ids are an empty text. Texts of any length are
     encoded whole; the search keeps a window of a few times the longest piece.
 
-    The driver reads the vocabulary and sends it to the tasks; that is all the model has.
+    The driver reads the vocabulary and sends it to the tasks; that is all the model has. Tasks that are
+    short of memory remember a smaller ``share`` of findings, which takes time and changes no result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_model(path))
 
     def encode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = _encoder(shared)
+        encoder = _encoder(shared, share)
         for column in columns:
             yield _by_blocks(column, lambda texts: _id_lists([encoder.encode(t) for t in texts]))
 
@@ -306,7 +306,7 @@ def coder(docs: DataFrame, path: str) -> tuple[Callable[[Column], Column], Calla
             yield pa.array([decode(x or [], spelled) for x in column.to_pylist()], pa.string())
 
     def both(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = _encoder(shared)
+        encoder = _encoder(shared, share)
 
         def coded(texts: list[str]) -> pa.Array:
             parts = [encoder.encode(t) for t in texts]
@@ -322,7 +322,7 @@ def coder(docs: DataFrame, path: str) -> tuple[Callable[[Column], Column], Calla
     return lambda c: encode_udf(text_of(c)), lambda c: decode_udf(c), lambda c: both_udf(text_of(c))
 
 
-def encode_decode(docs: DataFrame, path: str) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, share: float = 1.0) -> DataFrame:
     """``docs`` with ``pieces``: a struct of ids and decoded, the text that the ids give back."""
-    _, _, both = coder(docs, path)
+    _, _, both = coder(docs, path, share)
     return docs.withColumn("pieces", both(F.col("text")))
