@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 from itertools import chain, combinations
 
@@ -621,6 +622,66 @@ def test_parameters_of_tasks_are_averaged_from_narrow_records(monkeypatch):
     assert all((a == b).all() for a, b in zip(p.parts(), same.parts(), strict=True))
 
 
+def test_hashes_are_the_plain_ones_and_made_in_small_arrays():
+    def plain(word):
+        total = sum((b + 1) * pow(int(text._P1), i, 1 << 64) for i, b in enumerate(word)) + len(word) * int(text._P2)
+        places = text.mix(np.arange(len(word), dtype=np.uint64) * text._P1 + text._P2).tolist()
+        other = sum(int(text._RANDOM[b]) ^ p for b, p in zip(word, places, strict=True)) * int(text._P1) + len(word)
+        return [int(text.mix(np.array([x % (1 << 64)], np.uint64))[0]) for x in (total, other)]
+
+    rng = random.Random(26)
+    words = [bytes(rng.randrange(33, 256) for _ in range(n)) for n in (1, text.SHORT, text.SHORT + 1, 70_000, 3, 40_000, 40_000, 200)]
+    words += [bytes(rng.randrange(33, 256) for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    starts, ends, _ = text.word_spans(data, np.array([0, len(data)]))
+    got = text.span_hashes(data, starts, ends), text.second_hashes(data, starts, ends)
+    for i in [*range(2000), *range(len(words) - 2000, len(words))]:
+        assert [int(x[i]) for x in got] == plain(words[i])
+    # no array of eight bytes for each byte of a whole block, one after the other: that is slow, as it leaves the cache
+    data = np.frombuffer(b"abcdefghi " * 100_000, np.uint8)
+    starts = np.arange(0, len(data), 10)
+    for hashes in (text.span_hashes, text.second_hashes):
+        tracemalloc.start()
+        hashes(data, starts, starts + 9)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 8 * len(data)
+
+
+def test_words_are_found_by_their_hashes_however_those_are_spread():
+    draw = np.random.default_rng(27)
+    spread, near = draw.integers(0, 1 << 63, 3000).astype(np.uint64) * np.uint64(2), np.arange(500, dtype=np.uint64) * np.uint64(2)
+    for h1 in (spread, near, np.append(spread, near), spread[:1], np.array([0, 2**64 - 2], np.uint64)):
+        h1 = np.unique(h1)
+        lookup = lm.Lookup(h1, text.mix(h1), np.ones(len(h1), np.int64), np.arange(len(h1)), 0, 0, 0)
+        tried = np.concatenate([h1, h1 + np.uint64(1), h1])
+        second = np.concatenate([text.mix(h1), text.mix(h1), h1 * np.uint64(3) + np.uint64(1)])
+        at, found = lookup.find(tried, second)
+        assert found.tolist() == [True] * len(h1) + [False] * 2 * len(h1) and (at[found] == np.arange(len(h1))).all()
+
+
+def test_gradients_of_a_row_are_added_up_however_many_it_has():
+    draw = np.random.default_rng(28)
+    rows = np.concatenate([np.full(3000, 7), np.repeat(np.arange(20, 60), np.arange(40)), [5], draw.integers(100, 400, 500)])
+    draw.shuffle(rows)
+    grads = draw.standard_normal((len(rows), lm.DIM)).astype(np.float32)
+    whole = np.zeros((400, lm.DIM))
+    np.add.at(whole, rows, grads.astype(np.float64))
+    distinct = sorted(set(rows.tolist()))
+    for at, got in (lm._added(rows, grads), lm._added(rows.astype(np.int16), grads), lm._added_apart(rows, grads.copy(), 400)):
+        assert sorted(at.tolist()) == distinct and np.allclose(got, whole[at], atol=1e-3)
+    x, squares = np.ones((400, lm.DIM), np.float32), np.full((400, lm.DIM), 1e-6, np.float32)
+    lm._ascend(x, squares, at, got.copy(), 0.1)
+    assert np.allclose(squares[at], 1e-6 + got * got) and np.allclose(x[at], 1 + 0.1 * got / np.sqrt(squares[at]), atol=1e-6)
+    rest = np.setdiff1d(np.arange(400), at)
+    assert (x[rest] == 1).all() and (squares[rest] == np.float32(1e-6)).all()
+
+
+def test_words_of_equal_first_hashes_are_counted_apart():
+    h1, h2 = np.array([9, 4, 9, 4, 9], np.uint64), np.array([2, 1, 1, 1, 2], np.uint64)
+    assert [x.tolist() for x in lm._summed(h1, h2, np.ones(5, np.int64))] == [[4, 9, 9], [1, 1, 2], [2, 1, 2]]
+
+
 def test_large_logits_do_not_overflow():
     p = lm.Parameters.start(np.array([0.5, 0.3, 0.2]))
     p.word *= 4000

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,12 @@ FREQUENT = 1 << 18
 BIN_WORDS, MOST_BIN_BITS = 256, 8
 # Contexts whose probabilities are worked out at once: a table that stays in a processor's cache.
 TABLE = 512
+# Examples that are told from noise at once: another such table.
+NOISED = 2048
+# Rows of more gradients than this in an update have them added up in one go.
+FEW = 8
+# Rows of parameters that are changed at once.
+ASCENDED = 4096
 # Examples that a task gathers before it trains on them.
 EXAMPLES = 4_000_000
 # Neighbouring rows of parameters that a task gives out as one record.
@@ -60,8 +67,24 @@ class Lookup:
         """(rows, whether found)."""
         if not len(self.h1):
             return np.zeros(len(h1), np.int64), np.zeros(len(h1), bool)
-        at = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
-        return at, (self.h1[at] == h1) & (self.h2[at] == h2)
+        bits, begin = self.begin
+        at, last = begin.take(h1 >> np.uint64(64 - bits)).astype(np.int64), len(self.h1) - 1
+        # the first words of a hash are spread evenly, so few steps lead to the first one that is not less
+        less = np.flatnonzero(self.h1.take(at, mode="clip") < h1)
+        for _ in range(8):
+            at[less] += 1
+            less = less[self.h1.take(at[less], mode="clip") < h1[less]]
+        at[less] = np.searchsorted(self.h1, h1[less])
+        np.minimum(at, last, out=at)
+        found = self.h1.take(at) == h1
+        found &= self.h2.take(at) == h2
+        return at, found
+
+    @cached_property
+    def begin(self) -> tuple[int, np.ndarray]:
+        """A number of bits, and for each value of that many first bits of a hash the number of words with lesser ones."""
+        bits = max(len(self.h1).bit_length() + 1, 1)
+        return bits, np.searchsorted(self.h1, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32)
 
     def bins(self, h1: np.ndarray) -> np.ndarray:
         """The bin of each word: the first bits of its hash."""
@@ -122,6 +145,12 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _extended(predicted: np.ndarray) -> np.ndarray:
+    out = np.ones((len(predicted), DIM + 1), np.float32)
+    out[:, :DIM] = predicted
+    return out
+
+
 @dataclass
 class Parameters:
     """Of the model: in each step s(row | h) = sum over places i of (place_i * context_{h_i}) . word_row + bias_row.
@@ -161,19 +190,26 @@ class Parameters:
         bias[: self.tree.head] = first.ravel()[: self.tree.head]
         return Parameters(context, place, word, bias, self.tree)
 
-    def logits(self, predicted: np.ndarray, low: int, high: int) -> np.ndarray:
-        """Scores of the rows ``low`` to ``high``, one step of the tree, less the largest if they are large."""
-        word, bias = self.word[low:high], self.bias[low:high]
-        out = _product(predicted, word.T)
-        out += bias
-        longest = [np.sqrt(np.einsum("nd,nd->n", x, x).max(initial=0.0)) for x in (predicted, word)]
-        if not longest[0] * longest[1] + np.abs(bias).max() < SAFE:
+    def safe(self, predicted: np.ndarray) -> bool:
+        """Whether no sum of exponentials of logits can overflow."""
+        longest = [np.sqrt(np.einsum("nd,nd->n", x, x).max(initial=0.0)) for x in (predicted, self.word)]
+        return bool(longest[0] * longest[1] + np.abs(self.bias).max() < SAFE)
+
+    def logits(self, extended: np.ndarray, low: int, high: int, safe: bool) -> np.ndarray:
+        """Scores of the rows ``low`` to ``high``, one step of the tree, less the largest if they may not be safe.
+
+        ``extended`` is what is predicted, with a column of ones, which the biases are multiplied with.
+        """
+        step = np.empty((DIM + 1, high - low), np.float32)
+        step[:DIM], step[DIM] = self.word[low:high].T, self.bias[low:high]
+        out = _product(extended, step)
+        if not safe:
             out -= out.max(axis=1, keepdims=True)
         return out
 
     def step(self, predicted: np.ndarray, low: int, high: int) -> np.ndarray:
         """Normalized log probabilities of the rows ``low`` to ``high``, one step of the tree."""
-        logits = self.logits(predicted, low, high)
+        logits = self.logits(_extended(predicted), low, high, self.safe(predicted))
         logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
         return logits
 
@@ -189,73 +225,133 @@ class Parameters:
                 out.append(self.step(r, t.head + t.groups + at, t.head + t.groups + min(at + LEAVES, t.tail)) + group[:, None])
         return np.concatenate(out, axis=1)
 
-    def chosen(self, contexts: np.ndarray, at: np.ndarray, classes: np.ndarray, unseen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def chosen(
+        self, contexts: np.ndarray, at: np.ndarray, classes: np.ndarray, unseen: np.ndarray, sort: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Log probabilities of ``classes``, each after the context ``contexts[at]``: only the steps to it are taken.
 
         Then, for bins (the classes after ``top``), the log of what the shares ``unseen`` of all bins make
-        together, as a part of the probability of the one bin.
+        together, as a part of the probability of the one bin. ``sort`` may give the order of ``at``.
         """
         t, out, part_unseen = self.tree, np.zeros(len(classes)), np.zeros(len(classes))
-        predicted, first = self.predicted(contexts), self.tree.first(classes)
-        sort = np.argsort(at, kind="stable")
+        first, predicted = self.tree.first(classes), self.predicted(contexts)
+        safe, predicted = self.safe(predicted), _extended(predicted)
+        ones, sums = np.ones(max(t.head, LEAVES, GROUPS), np.float32), np.empty(len(classes), np.float32)
+        sort = np.argsort(at) if sort is None else sort
         cuts = np.searchsorted(at[sort], np.arange(0, len(contexts) + TABLE, TABLE))
         for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            table = self.logits(predicted[i * TABLE : (i + 1) * TABLE], 0, t.head)
+            table = self.logits(predicted[i * TABLE : (i + 1) * TABLE], 0, t.head, safe)
             part = sort[low:high]
             of = at[part] - i * TABLE
-            own = table[of, first[part]]
-            out[part] = own - np.log(np.exp(table, out=table).sum(axis=1))[of]
+            out[part] = table[of, first[part]]
+            sums[part] = (np.exp(table, out=table) @ ones[: t.head])[of]
+        out -= np.log(sums)
         deep = np.flatnonzero(classes > t.top)
-        deep = deep[np.argsort(classes[deep], kind="stable")]
+        deep = deep[np.argsort(classes[deep])]
+        at = at[deep]
         for row, start, size in t.later(classes[deep]):
-            cuts = np.append(np.flatnonzero(np.append(True, start[1:] != start[:-1])), len(deep)) if len(deep) else [0]
+            own, sums, share = (np.zeros(len(deep), np.float32) for _ in range(3))
+            cuts = np.append(np.flatnonzero(np.append(True, start[1:] != start[:-1])), len(deep)).tolist() if len(deep) else [0]
             for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-                for some in range(low, high, TABLE):
-                    part = slice(some, min(some + TABLE, high))
-                    table = self.logits(predicted.take(at[deep[part]], axis=0), start[low], start[low] + size[low])
-                    own = table[np.arange(len(table)), row[part] - start[low]]
-                    out[deep[part]] += own - np.log(np.exp(table, out=table).sum(axis=1))
-                    if start[low] == t.head + t.groups:  # the group of the bins
-                        part_unseen[deep[part]] = np.log(table[:, : len(unseen)] @ unseen) - own
+                begin, n = int(start[low]), int(size[low])
+                some = TABLE * max(1, LEAVES // n)
+                for a in range(low, high, some):
+                    part = slice(a, min(a + some, high))
+                    table = self.logits(predicted.take(at[part], axis=0), begin, begin + n, safe)
+                    own[part] = table[np.arange(len(table)), row[part] - begin]
+                    sums[part] = np.exp(table, out=table) @ ones[:n]
+                    if begin == t.head + t.groups:  # the group of the bins
+                        share[part] = np.log(table[:, : len(unseen)] @ unseen) - own[part]
+            out[deep] += own - np.log(sums)
+            part_unseen[deep] += share
         return out, part_unseen
 
     def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        return sum(self.context.take(contexts[:, i], axis=0) * self.place[i] for i in range(CONTEXT))
+        out = self.context.take(contexts[:, 0], axis=0)
+        out *= self.place[0]
+        for i in range(1, CONTEXT):
+            more = self.context.take(contexts[:, i], axis=0)
+            more *= self.place[i]
+            out += more
+        return out
 
 
-def _ascend(x: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray, rate: float) -> None:
-    """Adagrad, in place, of the rows that have gradients; a row may have many."""
-    sort = np.argsort(rows)
-    rows = rows.take(sort)
-    fresh = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    g, at = grads.take(sort, axis=0), rows.take(fresh)
-    if len(at) < len(rows):
+def _whole_rows(x: np.ndarray) -> np.ndarray:
+    """The rows as one value each, which are put in their places as they are."""
+    return x.view(f"V{x.itemsize * x.shape[1]}").ravel() if x.ndim > 1 else x
+
+
+def _added(rows: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, sums of their gradients)."""
+    sort = np.argsort(rows, kind="stable" if rows.itemsize == 2 else None)
+    ordered = rows.take(sort)
+    fresh = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    times = np.diff(np.append(fresh, len(rows)))
+    out = grads.take(sort.take(fresh), axis=0)
+    # rows of few gradients get them one by one
+    for i in range(1, FEW):
+        some = np.flatnonzero((times > i) & (times <= FEW))
+        out[some] += grads.take(sort.take(fresh[some] + i), axis=0)
+    often = times > FEW
+    if often.any():
         # complex numbers are pairs of neighbouring columns, added up in one go
-        g = np.add.reduceat(g.view(np.complex64) if g.ndim > 1 else g, fresh, axis=0).view(np.float32)
-    s = squares.take(at, axis=0)
-    s += g * g
-    squares[at] = s
-    g *= np.float32(rate)
-    g /= np.sqrt(s, out=s)
-    g += x.take(at, axis=0)
-    x[at] = g
+        parts = grads.take(sort[np.repeat(often, times)], axis=0).view(np.complex64)
+        out[often] = np.add.reduceat(parts, np.append(0, np.cumsum(times[often])[:-1]), axis=0).view(np.float32)
+    return ordered.take(fresh), out
+
+
+def _added_apart(rows: np.ndarray, grads: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, sums of their gradients) of rows below ``size`` that seldom repeat; ``grads`` are used up."""
+    last, places = np.empty(size, np.int32), np.arange(len(rows), dtype=np.int32)
+    last[rows] = places
+    last = last.take(rows)
+    kept = last == places
+    others = np.flatnonzero(~kept)
+    if len(others):
+        at, more = _added(last.take(others), grads.take(others, axis=0))
+        grads[at] += more
+    kept = np.flatnonzero(kept)
+    return rows.take(kept), grads.take(kept, axis=0)
+
+
+def _ascend(x: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray, rate: float) -> None:
+    """Adagrad, in place, of distinct rows by their gradients, which are used up."""
+    for low in range(0, len(rows), ASCENDED):
+        at, g = rows[low : low + ASCENDED], grads[low : low + ASCENDED]
+        s = squares.take(at, axis=0)
+        s += g * g
+        np.put(_whole_rows(squares), at, _whole_rows(s))
+        g *= np.float32(rate)
+        g /= np.sqrt(s, out=s)
+        g += x.take(at, axis=0)
+        np.put(_whole_rows(x), at, _whole_rows(g))
+
+
+def _loss(logits: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Gradients by the logits of noise, given the negative logits, in their place."""
+    np.exp(logits, out=logits)
+    logits += 1
+    return np.divide(-weights[:, None], logits, out=logits)
 
 
 def _sections(
-    p: Parameters, r: np.ndarray, weights: np.ndarray, row: np.ndarray, start: np.ndarray, among: np.ndarray, others: np.ndarray
-) -> Iterator[tuple[slice, slice, np.ndarray]]:
-    """(examples, rows of their section, gradients of its logits) in the second step, for examples sorted by section."""
-    cuts = np.append(np.flatnonzero(np.append(True, start[1:] != start[:-1])), len(start)).tolist()
-    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-        n, size, first = high - low, int(among[low]), int(start[low])
-        section, at, own, wt = slice(first, first + size), np.arange(n), row[low:high] - first, weights[low:high]
-        logits = _product(r[low:high], p.word[section].T)
-        logits += p.bias[section] - np.float32(np.log(INNER / size))
-        gain = wt / (1 + np.exp(logits[at, own]))
-        drawn = np.bincount((others[low:high] - first + at[:, None] * size).ravel(), minlength=n * size).reshape(n, size).astype(np.float32)
-        out = drawn * -wt[:, None] / (1 + np.exp(-logits))
-        out[at, own] += gain
-        yield slice(low, high), section, out
+    p: Parameters, extended: np.ndarray, weights: np.ndarray, row: np.ndarray, start: np.ndarray, among: np.ndarray, others: np.ndarray
+) -> tuple[list[tuple[slice, slice]], np.ndarray]:
+    """In the second step, for examples sorted by section: (examples, rows) of each, and gradients of logits by row of the section."""
+    n, at, own = len(row), np.arange(len(row)), row - start
+    cuts = np.append(np.flatnonzero(np.append(True, start[1:] != start[:-1])), n).tolist()
+    parts = [(slice(low, high), slice(int(start[low]), int(start[low] + among[low]))) for low, high in zip(cuts[:-1], cuts[1:], strict=True)]
+    negative = np.zeros((n, GROUPS), np.float32)
+    for part, section in parts:
+        size = section.stop - section.start
+        columns = -np.vstack([p.word[section].T, p.bias[section] - np.float32(np.log(INNER / size))])
+        negative[part, :size] = _product(extended[part], columns)
+    gain = weights / (1 + np.exp(-negative[at, own]))
+    drawn = np.bincount((others + (at * GROUPS - start)[:, None]).ravel(), minlength=n * GROUPS).reshape(n, GROUPS)
+    out = _loss(negative, weights)
+    out *= drawn.astype(np.float32)
+    out[at, own] += gain
+    return parts, out
 
 
 def train(p: Parameters, contexts: np.ndarray, words: np.ndarray, weights: np.ndarray, shares: np.ndarray, rate: float = 0.1, steps: int | None = None) -> int:
@@ -273,46 +369,64 @@ def train(p: Parameters, contexts: np.ndarray, words: np.ndarray, weights: np.nd
     mixed = np.concatenate([draw.permutation(len(words)) for _ in range(passes)])
     for low in range(0, len(mixed), size):
         at = mixed[low : low + size]
-        h, w, wt = contexts.take(at, axis=0), words.take(at), (weights[at] / weights[at].sum()).astype(np.float32)
+        # sorted by word, so the examples of a section, a group and a row are neighbours
+        w = words.take(at)
+        sort = np.argsort(w)
+        at, w = at[sort], w[sort]
+        h, wt = contexts.take(at, axis=0), weights.take(at)
+        wt = (wt / wt.sum()).astype(np.float32)
         noise, row = draw.choice(len(shares), NOISE, p=shares), t.first(w)
-        r, own = p.predicted(h), p.word.take(row, axis=0)
-        real = np.einsum("bd,bd->b", r, own) + p.bias[row] - log_noise[row]
-        fake = _product(r, p.word[noise].T) + (p.bias[noise] - log_noise[noise])
-        gain = wt / (1 + np.exp(real))
-        loss = -wt[:, None] / (1 + np.exp(-fake))
-        pull = gain[:, None] * own + _product(loss, p.word[noise])
-        rows, grads = [row, noise], [gain[:, None] * r, loss.T @ r]
-        biases = np.bincount(np.concatenate(rows), np.concatenate([gain, loss.sum(axis=0)]), t.head).astype(np.float32)
-        deep = np.flatnonzero(w > t.top)
-        for row, start, among in t.later(w[deep]):
-            some = np.flatnonzero(among > 1)
-            if not len(some):
+        before = p.context.take(h.T.ravel(), axis=0).reshape(CONTEXT, len(at), DIM)
+        r, own = sum(c * place for c, place in zip(before, p.place, strict=True)), p.word.take(row, axis=0)
+        extended = _extended(r)
+        gain = wt / (1 + np.exp(np.einsum("bd,bd->b", r, own) + (p.bias[: t.head] - log_noise).take(row)))
+        pull = np.multiply(gain[:, None], own, out=own)
+        theirs, against = p.word[noise], np.zeros((NOISE, DIM + 1), np.float32)
+        columns = -np.vstack([theirs.T, p.bias[noise] - log_noise[noise]])
+        for i in range(0, len(at), NOISED):
+            some = slice(i, i + NOISED)
+            loss = _loss(_product(extended[some], columns), wt[some])
+            pull[some] += _product(loss, theirs)
+            against += loss.T @ extended[some]
+        first = np.append(row, noise)
+        biases = np.bincount(first, np.append(gain, against[:, DIM]), t.head).astype(np.float32)
+        first = first.astype(np.int16 if t.head < 1 << 15 else np.int64)
+        updates = [_added(first, np.concatenate([gain[:, None] * r, against[:, :DIM]]))]
+        deep = int(np.searchsorted(w, t.top, "right"))
+        rd, wd, add, given = r[deep:], wt[deep:], pull[deep:], sort[deep:]
+        for row, start, among in t.later(w[deep:]):
+            choice = np.flatnonzero(among > 1)
+            if not len(choice):
                 continue
-            others = start[some, None] + (draw.random((len(some), INNER)) * among[some, None]).astype(np.int64)
-            sort = np.argsort(row[some])
-            some, others = some[sort], others[sort]
-            row, start, among, here = row[some], start[some], among[some], deep[some]
-            rd = r.take(here, axis=0)
+            # drawn in the order in which examples came
+            drawn = np.zeros((len(rd), INNER))
+            drawn[choice[np.argsort(given[choice])]] = draw.random((len(choice), INNER))
+            others = start[:, None] + (drawn * among[:, None]).astype(np.int64)
+            weighted = wd * (among > 1)
             if start[0] < t.head + t.groups:
-                for part, section, coefficients in _sections(p, rd, wt[here], row, start, among, others):
-                    pull[here[part]] += _product(coefficients, p.word[section])
-                    rows.append(np.arange(section.start, section.stop))
-                    grads.append(coefficients.T @ rd[part])
-                continue
-            own, log_even = p.word.take(row, axis=0), np.log(INNER / among).astype(np.float32)
-            theirs = p.word.take(others, axis=0)
-            real = np.einsum("bd,bd->b", rd, own) + p.bias[row] - log_even
-            fake = np.einsum("bd,bkd->bk", rd, theirs) + p.bias[others] - log_even[:, None]
-            gain = wt[here] / (1 + np.exp(real))
-            loss = -wt[here][:, None] / (1 + np.exp(-fake))
-            pull[here] += gain[:, None] * own + np.einsum("bk,bkd->bd", loss, theirs)
-            rows += [row, others.ravel()]
-            grads += [gain[:, None] * rd, (loss[:, :, None] * rd[:, None, :]).reshape(-1, DIM)]
-        places = np.stack([(pull * p.context.take(h[:, i], axis=0)).sum(axis=0) for i in range(CONTEXT)])
-        pulls = np.concatenate([pull * p.place[i] for i in range(CONTEXT)])
-        _ascend(p.context, squares[0], h.T.ravel(), pulls, rate)
+                parts, coefficients = _sections(p, extended[deep:], weighted, row, start, among, others)
+                for part, section in parts:
+                    some = coefficients[part, : section.stop - section.start]
+                    add[part] += _product(some, p.word[section])
+                    updates.append((np.arange(section.start, section.stop), some.T @ rd[part]))
+            else:
+                # noise by noise; the last is the own row
+                rows = np.concatenate([*others.T, row])
+                grads, log_even = np.empty((INNER + 1, *rd.shape), np.float32), np.log(INNER / among).astype(np.float32)
+                for k, (its, grad) in enumerate(zip(rows.reshape(INNER + 1, -1), grads, strict=True)):
+                    vectors = p.word.take(its, axis=0)
+                    logits = np.einsum("bd,bd->b", rd, vectors) + p.bias.take(its) - log_even
+                    factor = (-weighted / (1 + np.exp(-logits)) if k < INNER else weighted / (1 + np.exp(logits)))[:, None]
+                    np.multiply(factor, rd, out=grad)
+                    add += np.multiply(factor, vectors, out=vectors)
+                updates.append(_added_apart(rows, grads.reshape(-1, DIM), t.rows))
+        places = np.stack([np.einsum("bd,bd->d", pull, c) for c in before])
+        for c, place in zip(before, p.place, strict=True):
+            np.multiply(pull, place, out=c)
+        _ascend(p.context, squares[0], *_added(h.T.ravel(), before.reshape(-1, DIM)), rate)
         _ascend(p.place, squares[1], np.arange(CONTEXT), places, rate)
-        _ascend(p.word, squares[2], np.concatenate(rows), np.concatenate(grads), rate)
+        for at, g in updates:
+            _ascend(p.word, squares[2], at, g, rate)
         _ascend(p.bias, squares[3], np.arange(t.head), biases, rate)
     return -(-len(mixed) // size)
 
@@ -330,10 +444,26 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _summed(h1: np.ndarray, h2: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    sort = np.lexsort((h2, h1))
-    h1, h2 = h1[sort], h2[sort]
-    fresh = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))) if len(h1) else np.zeros(0, np.int64)
-    return h1[fresh], h2[fresh], *(np.add.reduceat(x[sort], fresh) if len(fresh) else x for x in values)
+    return _summed_each(np.zeros(len(h1), np.uint8), h1, h2, *values)[1:]
+
+
+def _summed_each(text: np.ndarray, h1: np.ndarray, h2: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct words of each text, in order, with sums of their values."""
+    sort = np.argsort(h1)
+    if len(text) and text.any():
+        key = text[sort]
+        sort = sort[np.argsort(key.astype(np.uint16) if key.max() < 1 << 16 else key, kind="stable")]
+
+    def fresh(x: np.ndarray) -> np.ndarray:
+        x = x[sort]
+        return x[1:] != x[:-1]
+
+    word, other = fresh(text) | fresh(h1), fresh(h2)
+    if (other & ~word).any():  # two words of one first hash
+        sort = np.lexsort((h2, h1, text))
+        word, other = fresh(text) | fresh(h1), fresh(h2)
+    at = np.flatnonzero(np.append(True, word | other)) if len(h1) else np.zeros(0, np.int64)
+    return *(x[sort[at]] for x in (text, h1, h2)), *(np.add.reduceat(x[sort], at) if len(at) else x for x in values)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,6 +530,7 @@ def _trainer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, shares, top = shared.value
         p, n, trained, steps = Parameters.start(shares, top), len(shares), 0.0, 0
+        bits = n.bit_length()
         t = p.tree
         drawn = t.summed(shares)[: t.head]
         held: list[np.ndarray] = []
@@ -410,15 +541,16 @@ def _trainer(shared):
             nonlocal steps
             codes, weights = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            words, before = codes % n, codes // n
-            contexts = np.stack([before // n ** (CONTEXT - 1 - i) % n for i in range(CONTEXT)], axis=1)
+            *before, words = ((codes >> (bits * i) & ((1 << bits) - 1)).astype(np.int32) for i in range(CONTEXT, -1, -1))
+            contexts = np.stack(before, axis=1)
             del codes, before
             weights = weights.astype(np.float64)
             for column in contexts.T:
                 seen[0] += np.bincount(column, weights, n)
-            deep = words > t.top
-            for row, _, _ in t.later(words[deep]):
-                seen[1] += np.bincount(row, weights[deep], t.rows)
+            tail = np.bincount(words, weights, n)[t.top + 1 :]
+            if len(tail):
+                seen[1][t.head : t.head + t.groups] += np.add.reduceat(tail, np.arange(0, t.tail, LEAVES))
+                seen[1][t.head + t.groups :] += tail
             steps += train(p, contexts, words, weights, drawn, steps=STEPS - steps)
             return float(weights.sum())
 
@@ -428,7 +560,7 @@ def _trainer(shared):
                 classes, _, _ = _classes(lookup, h1, h2)
                 code = np.zeros(len(classes), np.int64)
                 for column in [*_contexts(classes, bounds, lookup.end).T, classes]:
-                    code = code * n + column
+                    code = code << bits | column
                 held.append(code)
                 if sum(map(len, held)) > EXAMPLES:
                     trained += learn()
@@ -471,7 +603,11 @@ class Model:
         """The share of words never seen in each bin."""
         return np.where(self.bin_tokens > 0, self.discount * self.bin_words / np.maximum(self.bin_tokens, 1), 1.0)
 
-    def log_base(self, counts: np.ndarray) -> np.ndarray:
+    @cached_property
+    def known_base(self) -> np.ndarray:
+        return self.log_base(self.lookup.counts)
+
+    def log_base(self, counts: np.ndarray | int) -> np.ndarray:
         return np.log10((counts + 1) / (self.tokens + self.words + 1))
 
 
@@ -548,7 +684,7 @@ SCORED = "n_tokens bigint, n_known bigint, base double, model double, rare array
 def _scorer(shared):
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m: Model = shared.value
-        n = m.parameters.tree.classes
+        bits = m.parameters.tree.classes.bit_length()
         for column in columns:
             parts, rare = [], []
             for _, _, data, offsets in tx.blocks(column, SCORED_BYTES):
@@ -558,25 +694,27 @@ def _scorer(shared):
                 contexts = _contexts(classes, bounds, m.lookup.end)
                 code = np.zeros(len(classes), np.int64)
                 for place in contexts.T:
-                    code = code * n + place
-                distinct, first, at = np.unique(code, return_index=True, return_inverse=True)
-                model, unseen = (x / np.log(10) for x in m.parameters.chosen(contexts[first], at, classes, m.unseen()))
-                counts = m.lookup.counts[row] if len(m.lookup.counts) else np.zeros(len(row))
+                    code = code << bits | place
+                sort = np.argsort(code)
+                fresh = np.append(True, np.diff(code[sort]) != 0)
+                at = np.empty(len(code), np.int64)
+                at[sort] = np.cumsum(fresh) - 1
+                chosen = m.parameters.chosen(contexts[sort[fresh]], at, classes, m.unseen(), sort)
+                model, unseen = (x / np.log(10) for x in chosen)
                 is_end = classes == m.lookup.end
-                counts = np.where(is_end, m.lookup.ends, counts)
-                base = np.where(found | is_end, m.log_base(counts), 0.0)
+                base = np.where(found, m.known_base.take(row), 0.0) if len(m.known_base) else np.zeros(len(row))
+                base[is_end] = m.log_base(m.lookup.ends)
                 known = found | is_end & (m.lookup.ends > 0)
                 parts.append((np.diff(bounds), tx.sums(known.astype(np.int64), bounds), tx.exact_sums(base, bounds), tx.exact_sums(model, bounds)))
                 open_ = np.flatnonzero(~found & ~is_end)
-                cut = np.searchsorted(open_, bounds)
-                for low, high in zip(cut[:-1], cut[1:], strict=True):
-                    some = open_[low:high]
-                    rare.append(_summed(h1[some], h2[some], np.ones(high - low, np.int64), unseen[some]))
+                texts = np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(open_, bounds)))
+                text, *word = _summed_each(texts, h1[open_], h2[open_], np.ones(len(open_), np.int64), unseen[open_])
+                rare.append((np.bincount(text, minlength=len(bounds) - 1), *word))
             if not parts:
                 parts = [tuple(np.zeros(0, t) for t in (np.int64, np.int64, float, float))]
             arrays = [pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)]
-            ends = np.concatenate(([0], np.cumsum([len(r[0]) for r in rare]))).astype(np.int32)
-            flat = [np.concatenate(x) for x in zip(*rare, strict=True)] if rare else [np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, float)]
+            lengths, *flat = [np.concatenate(x) for x in zip(*rare, strict=True)] if rare else [np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, float)]
+            ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
             inner = pa.StructArray.from_arrays([pa.array(x) for x in (tx.signed(flat[0]), tx.signed(flat[1]), *flat[2:])], ["h1", "h2", "n", "unseen"])
             yield pa.StructArray.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(ends), inner)], ["n_tokens", "n_known", "base", "model", "rare"])
 

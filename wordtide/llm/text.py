@@ -6,6 +6,7 @@ Arrow keeps the texts of a batch in one buffer with offsets. The functions here
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,12 @@ import pyarrow.compute as pc
 
 # Bytes of text that are worked on at once. A block holds at least one whole text.
 BLOCK_BYTES = 1 << 20
+# Bytes of neighbouring spans that are hashed at once, in arrays that stay in a processor's cache.
+HASHED_BYTES = 1 << 15
+# Bytes of a span whose second hash is added up place by place.
+SHORT = 32
+# Spans whose second hashes are made at once.
+HASHED_SPANS = 1 << 14
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -94,21 +101,39 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return spans(~_SPACE[data], offsets)
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, U64)
+@cache
+def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of an odd ``base`` modulo 2^64, and those of its inverse, for the places of a piece."""
+    return tuple(_power_row(U64(x), HASHED_BYTES) for x in (base, pow(base, -1, 1 << 64)))
+
+
+def _power_row(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, U64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64 = _P1) -> np.ndarray:
-    """A 64-bit hash of each span of bytes; spans must be in order, not empty, and not overlap."""
-    if len(starts) == 0:
-        return np.zeros(0, U64)
-    lengths = ends - starts
-    before = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    at = np.arange(int(lengths.sum())) - np.repeat(before, lengths)
-    values = (data[at + np.repeat(starts, lengths)].astype(U64) + U64(1)) * _powers(base, int(lengths.max()))[at]
-    return mix(np.add.reduceat(values, before) + lengths.astype(U64) * _P2)
+    """A 64-bit hash of each span of bytes; spans must be in order, not empty, and not overlap.
+
+    It is a polynomial in ``base``, taken as a difference of running sums, less the power of the span's place.
+    """
+    n, low = len(starts), 0
+    out = np.zeros(n, U64)
+    powers, inverses = _powers(int(base))
+    while low < n:
+        first = starts[low]
+        high = max(low + 1, int(np.searchsorted(ends, first + HASHED_BYTES, "right")))
+        size = int(ends[high - 1] - first)
+        values = np.zeros(size + 1, U64)
+        values[1:] = data[first : first + size]
+        values[1:] += U64(1)
+        values[1:] *= powers[:size] if size <= len(powers) else _power_row(base, size)
+        np.cumsum(values, out=values)
+        some = starts[low:high] - first
+        out[low:high] = (values[ends[low:high] - first] - values[some]) * inverses[some]
+        low = high
+    return mix(out + (ends - starts).astype(U64) * _P2)
 
 
 def second_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -120,11 +145,29 @@ def second_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     if len(starts) == 0:
         return np.zeros(0, U64)
     lengths = ends - starts
-    before = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    at = np.arange(int(lengths.sum())) - np.repeat(before, lengths)
     places = mix(np.arange(int(lengths.max()), dtype=U64) * _P1 + _P2)
-    values = _RANDOM[data[at + np.repeat(starts, lengths)]] ^ places[at]
-    return mix(np.add.reduceat(values, before) * _P1 + lengths.astype(U64))
+    total = np.empty(len(starts), U64)
+    for low in range(0, len(starts), HASHED_SPANS):
+        piece = slice(low, low + HASHED_SPANS)
+        # place by place, over the spans that reach it, which are the last ones by length
+        capped = np.minimum(lengths[piece], SHORT).astype(np.uint8)
+        sort = np.argsort(capped, kind="stable")
+        at, part = starts[piece][sort], np.zeros(len(sort), U64)
+        shorter = np.cumsum(np.bincount(capped)).tolist()
+        for place, first in enumerate(shorter[:-1]):
+            some = at[first:]
+            values = _RANDOM.take(data.take(some))
+            values ^= places[place]
+            part[first:] += values
+            some += 1
+        total[low + sort] = part
+    long = np.flatnonzero(lengths > SHORT)
+    if len(long):
+        rest = lengths[long] - SHORT
+        before = np.concatenate(([0], np.cumsum(rest)[:-1]))
+        at = np.arange(int(rest.sum())) - np.repeat(before, rest) + SHORT
+        total[long] += np.add.reduceat(_RANDOM[data[at + np.repeat(starts[long], rest)]] ^ places[at], before)
+    return mix(total * _P1 + lengths.astype(U64))
 
 
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
